@@ -1,0 +1,6 @@
+"""No stream source, window or stateful operator exists in the surveyed project.
+
+The row-wise operators (projections, filters, scalar functions, fitted encoders and scalers)
+are plain DataFrame expressions and can be applied to ``readStream`` frames unchanged; there is
+nothing else to build here.
+"""

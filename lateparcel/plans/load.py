@@ -1,6 +1,11 @@
 """Importing this module fills the registry."""
 
-from lateparcel.plans import queries_tables  # noqa: F401
+from lateparcel.plans import (  # noqa: F401
+    queries_metrics,
+    queries_profile,
+    queries_sample,
+    queries_tables,
+)
 from lateparcel.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Largest parameter table (class counts, cut points, category lists) that may visit the driver.
@@ -46,3 +47,10 @@ def settle_small(frame: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFram
     if fetched.num_rows == 0:
         return frame.sparkSession.createDataFrame([], frame.schema)
     return frame.sparkSession.createDataFrame(fetched, frame.schema)
+
+
+def local_table(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+    """A parameter table made on the driver, as a local relation with a known size."""
+    if not next(iter(columns.values())):
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame(pa.table(columns), schema)

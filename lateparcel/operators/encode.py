@@ -187,9 +187,14 @@ class TabularEncoder:
         return self.scaler.transform(encoded) if self.scale else encoded
 
 
-def feature_matrix(frame: DataFrame, not_features: Sequence[str] = NOT_FEATURES) -> DataFrame:
-    """Numeric and boolean columns only, booleans as int, nulls as 0; ids and label dropped."""
-    rest = frame.drop(*not_features)
+def feature_matrix(
+    frame: DataFrame, not_features: Sequence[str] = NOT_FEATURES, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Numeric and boolean columns only, booleans as int, nulls as 0; ids and label dropped.
+
+    ``keep`` names columns to carry along unchanged, such as key, label and split.
+    """
+    rest = frame.drop(*not_features, *keep)
     columns = {n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in columns_of_kind(rest, "number")}
     columns.update(
         {
@@ -197,7 +202,7 @@ def feature_matrix(frame: DataFrame, not_features: Sequence[str] = NOT_FEATURES)
             for n in columns_of_kind(rest, "bool")
         }
     )
-    return rest.select(*[columns[n].alias(n) for n in rest.columns if n in columns])
+    return frame.select(*keep, *[columns[n].alias(n) for n in rest.columns if n in columns])
 
 
 def delay_frame(

@@ -1,0 +1,282 @@
+"""Boosted stumps, extremely random trees and a kernel machine, composed from MLlib parts."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from typing import Any
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lateparcel.session import cut_lineage
+
+CHECKPOINT_ROUNDS = 10
+GROUPS, CUTS = 5, 16
+FOURIER_FEATURES = 128
+
+
+def vector_size(frame: DataFrame, name: str = "features") -> int:
+    return int(frame.select(F.size(vector_to_array(name))).head()[0])
+
+
+@dataclass
+class AdaBoostModel:
+    """Weighted votes of stumps for two or more classes numbered from 0."""
+
+    stumps: list
+    votes: list[float]
+    classes: int
+
+    def _guesses(self, frame: DataFrame) -> tuple[DataFrame, list[str]]:
+        names = []
+        for i, stump in enumerate(self.stumps):
+            name = f"__stump{i}"
+            one = stump.copy().setPredictionCol(name).setRawPredictionCol("").setProbabilityCol("")
+            frame = one.transform(frame)
+            names.append(name)
+        return frame, names
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        frame, names = self._guesses(frame)
+        totals = []
+        for label in range(self.classes):
+            vote = F.lit(0.0)
+            for name, weight in zip(names, self.votes):
+                vote = vote + F.when(F.col(name) == label, F.lit(weight)).otherwise(F.lit(0.0))
+            totals.append(vote)
+        votes = F.array(*totals)
+        scored = frame.withColumn("__votes", votes).drop(*names)
+        best = F.array_position("__votes", F.array_max("__votes")) - 1
+        share = F.try_divide(F.col("__votes")[1], F.lit(float(sum(self.votes)) or 1.0))
+        return scored.withColumns(
+            {"prediction": best.cast("double"), "score": share}
+        ).drop("__votes")
+
+
+@dataclass(frozen=True)
+class AdaBoost:
+    """SAMME: each stump is fitted to weights that favour what the stumps before got wrong.
+
+    Weights are a column; the frame is checkpointed every few rounds so that neither lineage nor
+    recovery after a lost executor grows with the number of rounds.
+    """
+
+    rounds: int = 50
+    learning_rate: float = 1.0
+    seed: int = 42
+
+    def fit(self, train: DataFrame) -> AdaBoostModel:
+        row = train.agg(F.count("*").alias("n"), F.max("label").alias("top")).head()
+        classes = int(row["top"]) + 1
+        frame = train.select("features", "label").withColumn("__w", F.lit(1.0 / row["n"]))
+        stumps, votes = [], []
+        for turn in range(self.rounds):
+            stump = DecisionTreeClassifier(
+                maxDepth=1, weightCol="__w", seed=self.seed + turn
+            ).fit(frame)
+            guess = (
+                stump.copy()
+                .setPredictionCol("__guess").setRawPredictionCol("").setProbabilityCol("")
+                .transform(frame)
+            )
+            wrong = F.col("__guess") != F.col("label")
+            sums = guess.agg(
+                F.sum(F.when(wrong, F.col("__w")).otherwise(F.lit(0.0))).alias("bad"),
+                F.sum("__w").alias("all"),
+            ).head()
+            error = sums["bad"] / sums["all"]
+            if error <= 0:
+                stumps.append(stump)
+                votes.append(1.0)
+                break
+            if error >= 1.0 - 1.0 / classes:
+                break
+            vote = self.learning_rate * (
+                float(np.log((1.0 - error) / error)) + float(np.log(classes - 1.0))
+            )
+            stumps.append(stump)
+            votes.append(vote)
+            grown = F.when(wrong, F.col("__w") * F.lit(float(np.exp(vote)))).otherwise(
+                F.col("__w")
+            )
+            total = sums["all"] + sums["bad"] * (float(np.exp(vote)) - 1.0)
+            frame = guess.select("features", "label", (grown / F.lit(total)).alias("__w"))
+            if (turn + 1) % CHECKPOINT_ROUNDS == 0:
+                frame = cut_lineage(frame)
+        return AdaBoostModel(stumps, votes, classes)
+
+
+@dataclass
+class ExtraTreesModel:
+    """Mean over forests, each grown on its own random cut points."""
+
+    parts: list[tuple[list[list[float]], Any]]
+    classifier: bool
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        names = []
+        for i, (cuts, forest) in enumerate(self.parts):
+            name = f"__part{i}"
+            binned = bin_features(frame, cuts, f"__bins{i}")
+            model = forest.copy().setFeaturesCol(f"__bins{i}")
+            if self.classifier:
+                model = model.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(name)
+            else:
+                model = model.setPredictionCol(name)
+            frame = model.transform(binned).drop(f"__bins{i}")
+            names.append(name)
+        if not self.classifier:
+            mean = sum((F.col(n) for n in names), F.lit(0.0)) / F.lit(float(len(names)))
+            return frame.withColumn("prediction", mean).drop(*names)
+        arrays = [vector_to_array(n) for n in names]
+        classes = self.parts[0][1].numClasses
+        mean = F.array(
+            *[
+                sum((a[c] for a in arrays), F.lit(0.0)) / F.lit(float(len(names)))
+                for c in range(classes)
+            ]
+        )
+        scored = frame.withColumn("__mean", mean).drop(*names)
+        best = F.array_position("__mean", F.array_max("__mean")) - 1
+        return scored.withColumns(
+            {"prediction": best.cast("double"), "score": F.get("__mean", F.lit(1))}
+        ).drop("__mean")
+
+    @property
+    def featureImportances(self):
+        """Mean importance over the forests."""
+        return np.mean([forest.featureImportances.toArray() for _, forest in self.parts], axis=0)
+
+
+def bin_features(frame: DataFrame, cuts: Sequence[Sequence[float]], output: str) -> DataFrame:
+    """Replace each entry of ``features`` by the number of its bin."""
+    entries = vector_to_array("features")
+    raw, binned = [f"__e{i}" for i in range(len(cuts))], [f"__b{i}" for i in range(len(cuts))]
+    wide = frame.withColumn("__entries", entries).withColumns(
+        {n: F.col("__entries")[i] for i, n in enumerate(raw)}
+    )
+    edges = [[-float("inf"), *c, float("inf")] for c in cuts]
+    bucketed = Bucketizer(
+        splitsArray=edges, inputCols=raw, outputCols=binned, handleInvalid="keep"
+    ).transform(wide)
+    assembled = VectorAssembler(inputCols=binned, outputCol=output).transform(bucketed)
+    return assembled.drop("__entries", *raw, *binned)
+
+
+@dataclass(frozen=True)
+class ExtraTrees:
+    """Approximation of extremely random trees.
+
+    Such trees draw one random threshold per node.  Here every group of trees gets random cut
+    points per feature, uniform between its minimum and maximum, and may split at those only;
+    rows are not resampled.
+    """
+
+    params: Mapping[str, Any]
+    classifier: bool
+    depth: int
+
+    def fit(self, train: DataFrame) -> ExtraTreesModel:
+        size = vector_size(train)
+        entries = vector_to_array("features")
+        row = train.select(entries.alias("e")).agg(
+            *[F.min(F.col("e")[i]).alias(f"lo{i}") for i in range(size)],
+            *[F.max(F.col("e")[i]).alias(f"hi{i}") for i in range(size)],
+        ).head()
+        trees = int(self.params.get("n_estimators", 100))
+        groups = min(GROUPS, trees)
+        seed = int(self.params.get("random_state", 42))
+        random = np.random.default_rng(seed)
+        parts = []
+        for group in range(groups):
+            cuts = [
+                sorted({float(c) for c in random.uniform(row[f"lo{i}"], row[f"hi{i}"], CUTS)})
+                for i in range(size)
+            ]
+            count = trees // groups + (1 if group < trees % groups else 0)
+            settings = dict(
+                featuresCol="__bins", numTrees=count, maxDepth=self.depth, bootstrap=False,
+                minInstancesPerNode=max(1, int(self.params.get("min_samples_split", 2)) // 2),
+                seed=seed + group,
+            )
+            binned = bin_features(train, cuts, "__bins")
+            if self.classifier:
+                forest = RandomForestClassifier(
+                    featureSubsetStrategy="sqrt", weightCol="weight", **settings
+                )
+            else:
+                forest = RandomForestRegressor(featureSubsetStrategy="all", **settings)
+            parts.append((cuts, forest.fit(binned)))
+        return ExtraTreesModel(parts, self.classifier)
+
+
+@dataclass
+class FourierModel:
+    """A linear machine on cosine features."""
+
+    weights: np.ndarray
+    shifts: np.ndarray
+    machine: Any
+
+    def expand(self, frame: DataFrame) -> DataFrame:
+        return frame.withColumn(
+            "features", array_to_vector(cosine_features(self.weights, self.shifts))
+        )
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        kept = frame.withColumn("__features", F.col("features"))
+        scored = self.machine.transform(self.expand(kept))
+        return scored.drop("features").withColumnRenamed("__features", "features")
+
+
+def cosine_features(weights: np.ndarray, shifts: np.ndarray) -> Column:
+    """sqrt(2/D) cos(Wx + b) on Arrow batches: one matrix product per batch."""
+    scale = float(np.sqrt(2.0 / len(shifts)))
+
+    @F.pandas_udf("array<double>")
+    def expand(entries: pd.Series) -> pd.Series:
+        rows = np.stack(entries.to_numpy()) if len(entries) else np.empty((0, weights.shape[1]))
+        return pd.Series(list(scale * np.cos(rows @ weights.T + shifts)))
+
+    return expand(vector_to_array("features"))
+
+
+@dataclass(frozen=True)
+class FourierSVC:
+    """Kernel machine with a Gaussian kernel by random Fourier features (Rahimi & Recht 2007)."""
+
+    params: Mapping[str, Any]
+    fit_linear: Callable[[DataFrame, Mapping[str, Any]], Any]
+
+    def fit(self, train: DataFrame) -> FourierModel:
+        size = vector_size(train)
+        gamma = self.params.get("gamma", "scale")
+        if gamma == "scale":
+            spread = (
+                train.select(F.explode(vector_to_array("features")).alias("x"))
+                .agg(F.var_pop("x"))
+                .head()[0]
+            )
+            gamma = 1.0 / (size * spread) if spread else 1.0
+        elif gamma == "auto":
+            gamma = 1.0 / size
+        count = int(self.params.get("fourier_features", FOURIER_FEATURES))
+        random = np.random.default_rng(int(self.params.get("random_state", 42)))
+        weights = random.normal(0.0, np.sqrt(2.0 * float(gamma)), (count, size))
+        shifts = random.uniform(0.0, 2.0 * np.pi, count)
+        model = FourierModel(weights, shifts, None)
+        model.machine = self.fit_linear(model.expand(train), self.params)
+        return model
+
+
+def vote_summary(model: AdaBoostModel) -> str:
+    """Votes as JSON text."""
+    return json.dumps([round(v, 6) for v in model.votes])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lateparcel.functions import hash_below_fraction, portable_hash
-from lateparcel.operators.checks import SMALL_TABLE_ROWS, settle_small
+from lateparcel.operators.checks import SMALL_TABLE_ROWS, local_table, settle_small
 
 HASH, STRATUM, PART = "__hash", "__stratum", "__part"
 # Hex digits of the bucket: 4096 buckets keep the histogram small next to any big table.
@@ -66,9 +66,10 @@ def _hash_limits(
     ]
     if not open_cuts:
         return limits
-    spark = hashed.sparkSession
-    cuts = spark.createDataFrame(
-        open_cuts, f"{STRATUM} string, position int, quota bigint"
+    cuts = local_table(
+        hashed.sparkSession,
+        dict(zip((STRATUM, "position", "quota"), map(list, zip(*open_cuts)))),
+        f"{STRATUM} string, position int, quota bigint",
     )
     earlier = Window.partitionBy(STRATUM).orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -154,8 +155,10 @@ def _assign(frame, keys, seed, stratum, limits):
         for name, cuts in limits.items():
             place = F.when(label == F.lit(name), part(cuts)).otherwise(place)
         return frame.withColumn(PART, place)
-    table = frame.sparkSession.createDataFrame(
-        list(limits.items()), f"{STRATUM} string, __limits array<string>"
+    table = local_table(
+        frame.sparkSession,
+        {STRATUM: list(limits), "__limits": list(limits.values())},
+        f"{STRATUM} string, __limits array<string>",
     )
     joined = frame.withColumn(STRATUM, label).withColumn(HASH, hashed).join(table, STRATUM, "left")
     below = F.filter("__limits", lambda cut: cut < F.col(HASH))

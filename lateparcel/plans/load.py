@@ -2,6 +2,7 @@
 
 from lateparcel.plans import (  # noqa: F401
     queries_metrics,
+    queries_models,
     queries_profile,
     queries_sample,
     queries_tables,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lateparcel import functions as X
 from lateparcel.operators import join, metrics, report, sample
+from lateparcel.operators.checks import settle_small
 from lateparcel.plans.queries_sample import KEY, STRATIFIED_SQL
 from lateparcel.plans.registry import query, rounded, with_base
 from lateparcel.session import scratch_path
@@ -52,6 +53,13 @@ _ALL = (*STRATIFIED_SQL, RULES_SQL, FORECASTS_SQL, CONFUSION_SQL, BINARY_SQL, RE
 
 
 def _split(t):
+    """Split once per set of tables: several metric tables start from it."""
+    if "split" not in t.memo:
+        t.memo["split"] = _mark(t)
+    return t.memo["split"]
+
+
+def _mark(t):
     return sample.three_way_split(t.delays, KEY, label="target")
 
 
@@ -194,13 +202,13 @@ def _(t):
 
 
 def _test_metrics(t):
-    found = metrics.binary_metrics(rule_scores(t), BY)
-    return found.where("split = 'test'").drop("split")
+    found = metrics.binary_metrics(rule_scores(t).where("split = 'test'"), BY)
+    return settle_small(found.drop("split"))
 
 
 def _test_errors(t):
-    found = metrics.regression_metrics(forecasts(t), BY)
-    return found.where("split = 'test'").drop("split")
+    found = metrics.regression_metrics(forecasts(t).where("split = 'test'"), BY)
+    return settle_small(found.drop("split"))
 
 
 @query("o1_leaderboard", with_base("""
@@ -244,7 +252,9 @@ SELECT v.model, round(v.rmse, 6) AS rmse_validation, round(v.r2, 6) AS r2_valida
 FROM (SELECT * FROM reg_metrics WHERE split = 'validation' ORDER BY rmse, model LIMIT 1) v
 JOIN reg_metrics t ON t.model = v.model AND t.split = 'test'""", *_ALL))
 def _(t):
-    found = metrics.regression_metrics(forecasts(t), BY).select("model", "split", "rmse", "r2")
+    found = settle_small(
+        metrics.regression_metrics(forecasts(t), BY).select("model", "split", "rmse", "r2")
+    )
     return rounded(join.winner_elsewhere(found, "rmse", True, "validation", "test"))
 
 
@@ -303,7 +313,8 @@ FROM (SELECT * FROM binary_metrics WHERE split = 'validation' ORDER BY f1 DESC,
 JOIN binary_metrics t ON t.model = v.model AND t.split = 'test'""", *_ALL))
 def _(t):
     return report.sanity_summary(
-        metrics.regression_metrics(forecasts(t), BY), metrics.binary_metrics(rule_scores(t), BY)
+        settle_small(metrics.regression_metrics(forecasts(t), BY)),
+        settle_small(metrics.binary_metrics(rule_scores(t), BY)),
     )
 
 

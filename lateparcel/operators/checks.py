@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -49,8 +51,27 @@ def settle_small(frame: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFram
     return frame.sparkSession.createDataFrame(fetched, frame.schema)
 
 
-def local_table(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+def local_table(
+    spark: SparkSession, columns: dict[str, list], schema: str | T.StructType
+) -> DataFrame:
     """A parameter table made on the driver, as a local relation with a known size."""
     if not next(iter(columns.values())):
         return spark.createDataFrame([], schema)
     return spark.createDataFrame(pa.table(columns), schema)
+
+
+@contextmanager
+def reused(frame: DataFrame, keep: bool = True) -> Iterator[DataFrame]:
+    """Keep a narrow frame for the passes of one operator, then let it go.
+
+    Blocks go to disk when memory is short and are recomputed when an executor is lost.  With
+    ``keep=False`` every pass reads the input again, which is cheaper for a plain table scan.
+    """
+    if not keep or frame.is_cached:
+        yield frame
+        return
+    kept = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

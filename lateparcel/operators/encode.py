@@ -73,16 +73,33 @@ def encode_features(frame: DataFrame, categories: Sequence[str] | None = None) -
 def label_encode(frame: DataFrame, names: Sequence[str], suffix: str = "_enc") -> DataFrame:
     """Alphabetical code of each value, starting at 0.
 
-    The code tables hold one row per distinct value and are joined; their size decides how.
+    One pass finds the distinct (column, value) pairs of all columns.  The code tables are
+    joined; their size decides how.
     """
-    for name in names:
-        values = frame.where(F.col(name).isNotNull()).select(name).distinct()
-        codes = settle_small(
-            values.withColumn(
-                f"{name}{suffix}", F.row_number().over(Window.orderBy(name)) - F.lit(1)
+    names = list(names)
+    pairs = (
+        frame.select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(i).alias("at"), F.col(f"`{n}`").alias("value"))
+                        for i, n in enumerate(names)
+                    ]
+                )
             )
         )
-        frame = frame.join(codes, name, "left")
+        .where(F.col("value").isNotNull())
+        .distinct()
+    )
+    ordered = Window.partitionBy("at").orderBy("value")
+    codes = settle_small(
+        pairs.withColumn("code", F.row_number().over(ordered) - F.lit(1))
+    )
+    for i, name in enumerate(names):
+        own = codes.where(F.col("at") == i).select(
+            F.col("value").alias(name), F.col("code").alias(f"{name}{suffix}")
+        )
+        frame = frame.join(own, name, "left")
     return frame
 
 

@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateparcel.functions import half_even
-from lateparcel.operators.checks import columns_of_kind, require_columns, settle_small
+from lateparcel.operators.checks import (
+    columns_of_kind,
+    local_table,
+    require_columns,
+    reused,
+    settle_small,
+)
 from lateparcel.operators.quantile import exact_quantiles
 
 
@@ -80,40 +86,41 @@ def state_report(frame: DataFrame, late_share: bool = False) -> DataFrame:
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def describe_numbers(frame: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles and max per numeric column, one row per column."""
-    names = list(names or columns_of_kind(frame, "number"))
-    quartiles = exact_quantiles(frame, names, QUARTILES)
-    value = [F.col(f"`{n}`").cast("double") for n in names]
-    row = frame.agg(
-        *[
-            stat.alias(f"{label}{i}")
-            for i, v in enumerate(value)
-            for label, stat in (
-                ("n", F.count(v)),
-                ("mean", F.avg(v)),
-                ("std", F.stddev_samp(v)),
-                ("min", F.min(v)),
-                ("max", F.max(v)),
-            )
-        ]
-    )
+NUMBER_STATS = (
+    "column string, count bigint, mean double, std double, min double, p25 double, p50 double,"
+    " p75 double, max double"
+)
 
-    def entry(i: int, name: str) -> Column:
-        low, middle, high = quartiles[name]
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"mean{i}").alias("mean"),
-            F.col(f"std{i}").alias("std"),
-            F.col(f"min{i}").alias("min"),
-            F.lit(low).cast("double").alias("p25"),
-            F.lit(middle).cast("double").alias("p50"),
-            F.lit(high).cast("double").alias("p75"),
-            F.col(f"max{i}").alias("max"),
-        )
 
-    return row.select(F.inline(F.array(*[entry(i, n) for i, n in enumerate(names)])))
+def describe_numbers(
+    frame: DataFrame, names: Sequence[str] | None = None, keep: bool = True
+) -> DataFrame:
+    """count, mean, std, min, quartiles and max per numeric column, one row per column."""
+    names = list(names or columns_of_kind(frame, "number"))
+    if not names:
+        return frame.sparkSession.createDataFrame([], NUMBER_STATS)
+    with reused(frame.select(*[F.col(f"`{n}`") for n in names]), keep) as narrow:
+        quartiles = exact_quantiles(narrow, names, QUARTILES, keep=False)
+        value = [F.col(f"`{n}`").cast("double") for n in names]
+        row = narrow.agg(
+            *[
+                stat.alias(f"{label}{i}")
+                for i, v in enumerate(value)
+                for label, stat in (
+                    ("count", F.count(v)),
+                    ("mean", F.avg(v)),
+                    ("std", F.stddev_samp(v)),
+                    ("min", F.min(v)),
+                    ("max", F.max(v)),
+                )
+            ]
+        ).head()
+    places = range(len(names))
+    table = {"column": names}
+    table.update({n: [row[f"{n}{i}"] for i in places] for n in ("count", "mean", "std", "min")})
+    table.update({f"p{q}": [quartiles[n][at] for n in names] for at, q in enumerate((25, 50, 75))})
+    table["max"] = [row[f"max{i}"] for i in places]
+    return local_table(frame.sparkSession, table, NUMBER_STATS)
 
 
 def describe_texts(frame: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -122,6 +129,10 @@ def describe_texts(frame: DataFrame, names: Sequence[str]) -> DataFrame:
     All columns are counted in one shuffle of (column, value) pairs that combines on the map
     side, so a value repeated in a third of the rows is one row per task.
     """
+    schema = "column string, count bigint, `unique` bigint, top string, freq bigint"
+    names = list(names)
+    if not names:
+        return frame.sparkSession.createDataFrame([], schema)
     long = frame.select(
         F.inline(
             F.array(
@@ -146,26 +157,19 @@ def describe_texts(frame: DataFrame, names: Sequence[str]) -> DataFrame:
                 ("best", F.min(F.when(F.col("at") == i, ranked))),
             )
         ]
-    )
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column"),
-                        F.col(f"count{i}").alias("count"),
-                        F.col(f"unique{i}").alias("unique"),
-                        F.col(f"best{i}")["value"].alias("top"),
-                        (-F.col(f"best{i}")["minus"]).alias("freq"),
-                    )
-                    for i, name in enumerate(names)
-                ]
-            )
-        )
-    )
+    ).head()
+    best = [row[f"best{i}"] for i in range(len(names))]
+    table = {
+        "column": names,
+        "count": [row[f"count{i}"] for i in range(len(names))],
+        "unique": [row[f"unique{i}"] for i in range(len(names))],
+        "top": [b["value"] if b else None for b in best],
+        "freq": [-b["minus"] if b else None for b in best],
+    }
+    return local_table(frame.sparkSession, table, schema)
 
 
-def describe_all(frame: DataFrame) -> DataFrame:
+def describe_all(frame: DataFrame, keep: bool = True) -> DataFrame:
     """One row per column: numeric statistics for numbers, frequency statistics for the rest."""
     numeric = columns_of_kind(frame, "number")
     other = [n for n in frame.columns if n not in numeric]
@@ -184,10 +188,11 @@ def describe_all(frame: DataFrame) -> DataFrame:
         )
 
     parts = []
-    if numeric:
-        parts.append(shaped(describe_numbers(frame, numeric)))
-    if other:
-        parts.append(shaped(describe_texts(frame, other)))
+    with reused(frame, keep) as kept:
+        if numeric:
+            parts.append(shaped(describe_numbers(kept, numeric, keep=False)))
+        if other:
+            parts.append(shaped(describe_texts(kept, other)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -288,29 +293,37 @@ def histogram(frame: DataFrame, name: str, bins: int = 50) -> DataFrame:
     )
 
 
-def box_plot(frame: DataFrame, names: Sequence[str], reach: float = 1.5) -> DataFrame:
+def box_plot(
+    frame: DataFrame, names: Sequence[str], reach: float = 1.5, keep: bool = True
+) -> DataFrame:
     """Quartiles, whiskers within ``reach`` quartile ranges and the number of outliers."""
-    quartiles = exact_quantiles(frame, names, QUARTILES)
-    entries, stats = [], []
-    for i, name in enumerate(names):
-        low, middle, high = (F.lit(v).cast("double") for v in quartiles[name])
-        value = F.col(f"`{name}`").cast("double")
-        floor, ceiling = low - F.lit(reach) * (high - low), high + F.lit(reach) * (high - low)
-        inside = value.between(floor, ceiling)
-        stats += [
-            F.min(F.when(inside, value)).alias(f"lo{i}"),
-            F.max(F.when(inside, value)).alias(f"hi{i}"),
-            F.count_if(~inside).alias(f"out{i}"),
-        ]
-        entries.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.least(F.col(f"lo{i}"), low).alias("whisker_low"),
-                low.alias("q1"),
-                middle.alias("median"),
-                high.alias("q3"),
-                F.greatest(F.col(f"hi{i}"), high).alias("whisker_high"),
-                F.col(f"out{i}").alias("outliers"),
-            )
-        )
-    return frame.agg(*stats).select(F.inline(F.array(*entries)))
+    names = list(names)
+    with reused(frame.select(*[F.col(f"`{n}`") for n in names]), keep) as narrow:
+        quartiles = exact_quantiles(narrow, names, QUARTILES, keep=False)
+        stats = []
+        for i, name in enumerate(names):
+            low, _, high = (F.lit(v).cast("double") for v in quartiles[name])
+            value = F.col(f"`{name}`").cast("double")
+            margin = F.lit(reach) * (high - low)
+            inside = value.between(low - margin, high + margin)
+            stats += [
+                F.least(F.min(F.when(inside, value)), low).alias(f"low{i}"),
+                F.greatest(F.max(F.when(inside, value)), high).alias(f"high{i}"),
+                F.count_if(~inside).alias(f"out{i}"),
+            ]
+        row = narrow.agg(*stats).head()
+    places = range(len(names))
+    return local_table(
+        frame.sparkSession,
+        {
+            "column": names,
+            "whisker_low": [row[f"low{i}"] for i in places],
+            "q1": [quartiles[n][0] for n in names],
+            "median": [quartiles[n][1] for n in names],
+            "q3": [quartiles[n][2] for n in names],
+            "whisker_high": [row[f"high{i}"] for i in places],
+            "outliers": [row[f"out{i}"] for i in places],
+        },
+        "column string, whisker_low double, q1 double, median double, q3 double,"
+        " whisker_high double, outliers bigint",
+    )

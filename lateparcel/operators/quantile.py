@@ -5,19 +5,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Built-in percentile keeps one counter per distinct value in a single buffer, so it is used
-# only below this (approximate) number of distinct values.
-BUFFERED_DISTINCT = 200_000
-# Rank error of the brackets in the distributed path is count / accuracy; the accuracy grows with
-# the table so that a bracket keeps at most a few hundred thousand rows for most sizes.
-LEAST_ACCURACY, MOST_ACCURACY, ROWS_PER_ERROR = 10_000, 1_000_000, 50_000
+from lateparcel.operators.checks import reused
 
+# The sketch is off by at most count / ACCURACY places, so the exact count that follows looks at
+# about four times that many rows per quantile.
+ACCURACY = 100_000
 
-def _number(name: str):
+
+def _number(name: str) -> Column:
     """Column as double with NaN read as null."""
     value = F.col(f"`{name}`").cast("double")
     return F.when(~F.isnan(value), value)
@@ -27,140 +26,112 @@ def exact_quantiles(
     frame: DataFrame,
     names: Sequence[str],
     probs: Sequence[float],
-    buffered_distinct: int = BUFFERED_DISTINCT,
-    accuracy: int | None = None,
+    accuracy: int = ACCURACY,
+    keep: bool = True,
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between neighbours, per column.
 
-    A first pass counts values and distinct values.  Columns with few distinct values use the
-    built-in ``percentile``.  The rest are bracketed by a quantile sketch, and only the values
-    inside the narrow bracket are counted exactly.  Only the finished numbers reach the driver.
+    Two scans for all columns together: a quantile sketch brackets each wanted rank, then rows
+    below the bracket and values inside it are counted exactly.  ``percentile`` would hold every
+    distinct value of a column in the buffer of one task; here only the narrow brackets are
+    ordered, and only finished numbers reach the driver.
     """
     names, probs = list(dict.fromkeys(names)), list(probs)
     if not names:
         return {}
-    sized = frame.agg(
-        *[F.count(_number(n)).alias(f"n{i}") for i, n in enumerate(names)],
-        *[F.approx_count_distinct(_number(n)).alias(f"d{i}") for i, n in enumerate(names)],
-    ).head()
-    few, many = [], []
-    for position, name in enumerate(names):
-        (few if sized[f"d{position}"] <= buffered_distinct else many).append(name)
-    found: dict[str, list[float | None]] = {}
-    if few:
-        row = frame.agg(
-            *[F.percentile(_number(n), probs).alias(f"p{i}") for i, n in enumerate(few)]
-        ).head()
-        for position, name in enumerate(few):
-            values = row[f"p{position}"]
-            found[name] = list(values) if values is not None else [None] * len(probs)
-    if many:
-        counts = {n: sized[f"n{i}"] for i, n in enumerate(names)}
-        if accuracy is None:
-            wanted = max(counts.values()) // ROWS_PER_ERROR
-            accuracy = min(MOST_ACCURACY, max(LEAST_ACCURACY, wanted))
-        found.update(_bracketed(frame, many, probs, counts, accuracy))
-    return {name: found[name] for name in names}
-
-
-def _bracketed(frame, names, probs, counts, accuracy):
-    """Order statistics of many-valued columns from sketch brackets and exact counts inside."""
+    with reused(frame.select(*[F.col(f"`{n}`") for n in names]), keep) as narrow:
+        return _quantiles(narrow, names, probs, accuracy)
+
+
+def _quantiles(frame, names, probs, accuracy):
     slack = 2.0 / accuracy
-    asked = []
-    for prob in probs:
-        asked.append(max(0.0, prob - slack))
-        asked.append(min(1.0, prob + slack))
+    asked = [p for prob in probs for p in (max(0.0, prob - slack), min(1.0, prob + slack))]
     sketch = frame.agg(
         *[
-            F.percentile_approx(_number(n), asked, accuracy).alias(f"s{i}")
-            for i, n in enumerate(names)
-        ],
-        *[F.min(_number(n)).alias(f"lo{i}") for i, n in enumerate(names)],
-        *[F.max(_number(n)).alias(f"hi{i}") for i, n in enumerate(names)],
+            stat.alias(f"{label}{i}")
+            for i, name in enumerate(names)
+            for label, stat in (
+                ("n", F.count(_number(name))),
+                ("lo", F.min(_number(name))),
+                ("hi", F.max(_number(name))),
+                ("q", F.percentile_approx(_number(name), asked, accuracy)),
+            )
+        ]
     ).head()
-    targets = {}
-    for i, name in enumerate(names):
+    found: dict[tuple[int, int], float | None] = {}
+    pending: dict[tuple[int, int], dict] = {}
+    for i in range(len(names)):
         for j, prob in enumerate(probs):
-            low, high = sketch[f"s{i}"][2 * j], sketch[f"s{i}"][2 * j + 1]
-            position = prob * (counts[name] - 1)
-            targets[(i, j)] = {
-                "low": sketch[f"lo{i}"] if asked[2 * j] == 0.0 else low,
-                "high": sketch[f"hi{i}"] if asked[2 * j + 1] == 1.0 else high,
-                "first": math.floor(position) + 1,
-                "last": math.ceil(position) + 1,
-                "weight": position - math.floor(position),
+            if sketch[f"n{i}"] == 0:
+                found[(i, j)] = None
+                continue
+            place = prob * (sketch[f"n{i}"] - 1)
+            pending[(i, j)] = {
+                "low": sketch[f"lo{i}"] if asked[2 * j] == 0.0 else sketch[f"q{i}"][2 * j],
+                "high": sketch[f"hi{i}"] if asked[2 * j + 1] == 1.0 else sketch[f"q{i}"][2 * j + 1],
+                "first": math.floor(place) + 1,
+                "last": math.ceil(place) + 1,
+                "weight": place - math.floor(place),
             }
-    found = {}
-    pending = dict(targets)
     while pending:
         missed = {}
-        for key, pair in _ranked_values(frame, names, pending).items():
+        for key, pair in _values_at_ranks(frame, names, pending).items():
             if pair is None:
-                # the sketch missed: take the whole range, which always holds the rank
-                i = key[0]
+                # outside the bracket after all: the whole range always holds the rank
                 missed[key] = {
-                    **pending[key], "low": sketch[f"lo{i}"], "high": sketch[f"hi{i}"]
+                    **pending[key],
+                    "low": sketch[f"lo{key[0]}"],
+                    "high": sketch[f"hi{key[0]}"],
                 }
-                continue
-            lower, upper = pair
-            found[key] = lower + (upper - lower) * targets[key]["weight"]
+            else:
+                lower, upper = pair
+                found[key] = lower + (upper - lower) * pending[key]["weight"]
         pending = missed
     return {n: [found[(i, j)] for j in range(len(probs))] for i, n in enumerate(names)}
 
 
-def _ranked_values(frame, names, targets):
-    """Values at the wanted ranks, or None where the bracket does not hold the rank."""
+def _values_at_ranks(frame: DataFrame, names: Sequence[str], targets: dict) -> dict:
+    """Values at the wanted ranks, or None where the bracket does not hold them.
+
+    Rows below a bracket are counted under a null value next to the values inside it; equal
+    values collapse on the map side, so a hot value is one row per task.
+    """
     keys = sorted(targets)
-    below = frame.agg(
-        *[
-            F.count_if(_number(names[i]) < F.lit(targets[(i, j)]["low"])).alias(f"b{i}_{j}")
-            for i, j in keys
-        ]
-    ).head()
-    inside = F.filter(
-        F.array(
-            *[
+    entries = []
+    for position, (i, j) in enumerate(keys):
+        value, target = _number(names[i]), targets[(i, j)]
+        entries.append(
+            F.when(
+                value <= F.lit(target["high"]),
                 F.struct(
                     F.lit(position).alias("target"),
-                    F.when(
-                        _number(names[i]).between(
-                            F.lit(targets[(i, j)]["low"]), F.lit(targets[(i, j)]["high"])
-                        ),
-                        _number(names[i]),
-                    ).alias("value"),
-                )
-                for position, (i, j) in enumerate(keys)
-            ]
-        ),
-        lambda entry: entry["value"].isNotNull(),
+                    F.when(value >= F.lit(target["low"]), value).alias("value"),
+                ),
+            )
+        )
+    counted = (
+        frame.select(F.inline(F.array(*entries)))
+        .where(F.col("target").isNotNull())
+        .groupBy("target", "value")
+        .agg(F.count("*").alias("copies"))
     )
-    # equal values collapse on the map side, so a hot value is one row per task
-    valued = frame.select(F.inline(inside)).groupBy("target", "value").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
-    # a bracket holds about four rank errors of rows, and fewer distinct values
-    ordered = Window.partitionBy("target").orderBy("value")
-    running = valued.withColumn(
+    ordered = Window.partitionBy("target").orderBy(F.asc_nulls_first("value"))
+    running = counted.withColumn(
         "upto", F.sum("copies").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     )
-    wanted = F.lit(None)
-    for position, (i, j) in enumerate(keys):
-        base = below[f"b{i}_{j}"]
-        wanted = F.when(
-            F.col("target") == position,
-            F.array(
-                F.lit(targets[(i, j)]["first"] - base), F.lit(targets[(i, j)]["last"] - base)
-            ).cast("array<bigint>"),
-        ).otherwise(wanted)
-    hit = running.withColumn("wanted", wanted).groupBy("target").agg(
-        F.min(F.when(F.col("upto") >= F.col("wanted")[0], F.col("value"))).alias("lower"),
-        F.min(F.when(F.col("upto") >= F.col("wanted")[1], F.col("value"))).alias("upper"),
-    )
-    rows = {row["target"]: row for row in hit.collect()}
-    answer = {}
-    for position, (i, j) in enumerate(keys):
-        row = rows.get(position)
-        first = targets[(i, j)]["first"] - below[f"b{i}_{j}"]
-        ok = row is not None and first >= 1 and row["upper"] is not None
-        answer[(i, j)] = (row["lower"], row["upper"]) if ok else None
+
+    def wanted(end: str) -> Column:
+        ranks = F.array(*[F.lit(targets[key][end]).cast("bigint") for key in keys])
+        return F.get(ranks, F.col("target"))
+
+    rows = running.groupBy("target").agg(
+        F.max(F.when(F.col("value").isNull(), F.col("upto"))).alias("below"),
+        F.min(F.when(F.col("upto") >= wanted("first"), F.col("value"))).alias("lower"),
+        F.min(F.when(F.col("upto") >= wanted("last"), F.col("value"))).alias("upper"),
+    ).collect()
+    answer: dict = {key: None for key in keys}
+    for row in rows:
+        key = keys[row["target"]]
+        if row["upper"] is not None and (row["below"] or 0) < targets[key]["first"]:
+            answer[key] = (row["lower"], row["upper"])
     return answer

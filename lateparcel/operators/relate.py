@@ -7,8 +7,15 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from lateparcel.operators.checks import SMALL_TABLE_ROWS, columns_of_kind, settle_small
+from pyspark.sql import types as T
+
+from lateparcel.operators.checks import (
+    SMALL_TABLE_ROWS,
+    columns_of_kind,
+    local_table,
+    reused,
+    settle_small,
+)
 from lateparcel.operators.quantile import exact_quantiles
 from lateparcel.operators.rank import WINDOW_DISTINCT, average_ranks
 from lateparcel.session import cut_lineage
@@ -26,31 +33,57 @@ def _doubles(frame: DataFrame, names: Sequence[str]) -> DataFrame:
     return frame.select(*[clean(name) for name in names])
 
 
-def _pair_correlation(left: Column, right: Column) -> Column:
-    """Correlation over rows where both are known; null when either side is constant."""
-    a, b = F.when(right.isNotNull(), left), F.when(left.isNotNull(), right)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-
-def _as_matrix(frame: DataFrame, names: Sequence[str], entry) -> DataFrame:
-    """Aggregate ``entry(i, j)`` for i <= j in one pass and lay it out as a square frame."""
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    row = frame.agg(*[entry(i, j).alias(f"c{i}_{j}") for i, j in pairs])
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("feature"),
-                        *[
-                            F.col(f"c{min(i, j)}_{max(i, j)}").alias(other)
-                            for j, other in enumerate(names)
-                        ],
-                    )
-                    for i, name in enumerate(names)
-                ]
+def _pair_moments(frame: DataFrame, left: Sequence[Column], right: Sequence[Column]) -> list:
+    """Covariance, deviations and mean product of column pairs, over rows where both are known.
+
+    Each row is unfolded into its pairs and those are aggregated by pair number, all before the
+    shuffle.  One short generated loop does the work, where one aggregate per pair side by side
+    would grow past what the JVM compiles.
+    """
+    pairs = F.array(
+        *[
+            F.when(
+                a.isNotNull() & b.isNotNull(),
+                F.struct(F.lit(at).alias("at"), a.alias("a"), b.alias("b")),
             )
+            for at, (a, b) in enumerate(zip(left, right))
+        ]
+    )
+    rows = (
+        frame.select(F.inline(pairs))
+        .where(F.col("at").isNotNull())
+        .groupBy("at")
+        .agg(
+            F.covar_pop("a", "b").alias("covariance"),
+            F.stddev_pop("a").alias("a_std"),
+            F.stddev_pop("b").alias("b_std"),
+            F.avg(F.col("a") * F.col("b")).alias("product"),
         )
+        .collect()
+    )
+    found = [None] * len(left)
+    for row in rows:
+        found[row["at"]] = row
+    return found
+
+
+def _correlation_frame(frame: DataFrame, names: Sequence[str], pairs, moments) -> DataFrame:
+    """Square frame of correlations; null where either column is constant."""
+    values = [[None] * len(names) for _ in names]
+    for (i, j), row in zip(pairs, moments):
+        if row is not None and row["a_std"] and row["b_std"]:
+            value = row["covariance"] / (row["a_std"] * row["b_std"])
+            values[i][j] = values[j][i] = max(-1.0, min(1.0, value))
+    return local_table(
+        frame.sparkSession,
+        {
+            "feature": list(names),
+            **{name: [row[j] for row in values] for j, name in enumerate(names)},
+        },
+        T.StructType(
+            [T.StructField("feature", T.StringType())]
+            + [T.StructField(name, T.DoubleType()) for name in names]
+        ),
     )
 
 
@@ -63,10 +96,16 @@ def pearson_matrix(frame: DataFrame, names: Sequence[str] | None = None) -> Data
     names = list(names or columns_of_kind(frame, "number"))
     if not names:
         return _no_columns(frame)
-    numbers = _doubles(frame, names)
-    return _as_matrix(
-        numbers, names, lambda i, j: _pair_correlation(F.col(names[i]), F.col(names[j]))
+    pairs = _pairs(len(names))
+    numbers = _doubles(frame, names).toDF(*[f"v{i}" for i in range(len(names))])
+    moments = _pair_moments(
+        numbers, [F.col(f"v{i}") for i, _ in pairs], [F.col(f"v{j}") for _, j in pairs]
     )
+    return _correlation_frame(frame, names, pairs, moments)
+
+
+def _pairs(count: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(count) for j in range(i, count)]
 
 
 def spearman_matrix(
@@ -74,6 +113,7 @@ def spearman_matrix(
     names: Sequence[str] | None = None,
     window_distinct: int = WINDOW_DISTINCT,
     small_rows: int = SMALL_TABLE_ROWS,
+    keep: bool = True,
 ) -> DataFrame:
     """Pairwise-complete Spearman matrix with average ranks.
 
@@ -85,7 +125,12 @@ def spearman_matrix(
     names = list(names or columns_of_kind(frame, "number"))
     if not names:
         return _no_columns(frame)
-    numbers = _doubles(frame, names).toDF(*[f"v{i}" for i in range(len(names))])
+    narrow = _doubles(frame, names).toDF(*[f"v{i}" for i in range(len(names))])
+    with reused(narrow, keep) as numbers:
+        return _spearman(frame, numbers, names, window_distinct, small_rows)
+
+
+def _spearman(frame, numbers, names, window_distinct, small_rows):
     count = len(names)
     pairs = [(i, j) for i in range(count) for j in range(count) if i != j]
 
@@ -110,22 +155,22 @@ def spearman_matrix(
         {variant(i, j) for i, j in pairs} | {(i, None) for i in range(count)},
         key=lambda v: (v[0], -1 if v[1] is None else v[1]),
     )
-    valued = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(position).alias("variant"),
-                    (
-                        F.col(f"v{i}") if mask is None else F.when(known(mask), F.col(f"v{i}"))
-                    ).alias("value"),
-                )
-                for position, (i, mask) in enumerate(variants)
-            ]
-        ),
-        lambda entry: entry["value"].isNotNull(),
+    valued = F.array(
+        *[
+            F.struct(
+                F.lit(position).alias("variant"),
+                (F.col(f"v{i}") if mask is None else F.when(known(mask), F.col(f"v{i}"))).alias(
+                    "value"
+                ),
+            )
+            for position, (i, mask) in enumerate(variants)
+        ]
     )
     frequencies = (
-        numbers.select(F.inline(valued)).groupBy("variant", "value").agg(F.count("*").alias("n"))
+        numbers.select(F.inline(valued))
+        .where(F.col("value").isNotNull())
+        .groupBy("variant", "value")
+        .agg(F.count("*").alias("n"))
     )
     most = max(profile[f"d{i}"] for i in range(count))
     total = sum(profile[f"d{i}"] for i, _ in variants)
@@ -142,12 +187,14 @@ def spearman_matrix(
         ranked = ranked.join(side, f"v{i}", "left")
     place = {pair: position for position, pair in enumerate(variants)}
 
-    def entry(i: int, j: int) -> Column:
-        left, right = F.col(f"r{place[variant(i, j)]}"), F.col(f"r{place[variant(j, i)]}")
-        both = known(i) & known(j)
-        return _pair_correlation(F.when(both, left), F.when(both, right))
+    def side(i: int, j: int) -> Column:
+        return F.when(known(j), F.col(f"r{place[variant(i, j)]}"))
 
-    return _as_matrix(ranked, names, entry)
+    cells = _pairs(count)
+    moments = _pair_moments(
+        ranked, [side(i, j) for i, j in cells], [side(j, i) for i, j in cells]
+    )
+    return _correlation_frame(frame, names, cells, moments)
 
 
 def _inflation(matrix: np.ndarray) -> list[float]:
@@ -169,6 +216,7 @@ def variance_inflation(
     names: Sequence[str] | None = None,
     with_intercept: bool = True,
     nulls: str = "median",
+    keep: bool = True,
 ) -> DataFrame:
     """Variance inflation per numeric column, largest first.
 
@@ -180,25 +228,25 @@ def variance_inflation(
     schema = "feature string, VIF double"
     if not names:
         return spark.createDataFrame([], schema)
-    numbers = _doubles(frame, names)
-    if nulls == "median":
-        medians = exact_quantiles(numbers, names, [0.5])
-        numbers = numbers.fillna({n: v[0] for n, v in medians.items() if v[0] is not None})
-    elif nulls == "drop":
-        numbers = numbers.dropna()
-    else:
+    if nulls not in ("median", "drop"):
         raise ValueError("nulls must be 'median' or 'drop'")
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-
-    def moment(i: int, j: int) -> Column:
-        a, b = F.col(f"`{names[i]}`"), F.col(f"`{names[j]}`")
-        return F.covar_pop(a, b) if with_intercept else F.avg(a * b)
-
-    row = numbers.agg(*[moment(i, j).alias(f"m{i}_{j}") for i, j in pairs]).head()
+    cells = _pairs(len(names))
+    columns = [F.col(f"`{n}`") for n in names]
+    with reused(_doubles(frame, names), keep and nulls == "median") as numbers:
+        if nulls == "median":
+            medians = exact_quantiles(numbers, names, [0.5], keep=False)
+            filled = numbers.fillna({n: v[0] for n, v in medians.items() if v[0] is not None})
+        else:
+            filled = numbers.dropna()
+        found = _pair_moments(
+            filled, [columns[i] for i, _ in cells], [columns[j] for _, j in cells]
+        )
     moments = np.full((len(names), len(names)), np.nan)
-    for i, j in pairs:
-        value = row[f"m{i}_{j}"]
-        moments[i, j] = moments[j, i] = np.nan if value is None else value
+    for (i, j), row in zip(cells, found):
+        if row is not None:
+            moments[i, j] = moments[j, i] = (
+                row["covariance"] if with_intercept else row["product"]
+            )
     scale = np.sqrt(np.diag(moments))
     usable = [i for i in range(len(names)) if np.isfinite(scale[i]) and scale[i] > 0]
     unit = moments[np.ix_(usable, usable)] / np.outer(scale[usable], scale[usable])

@@ -387,10 +387,12 @@ def notebook_preparation(customers: DataFrame, orders: DataFrame, items: DataFra
         .join(order_totals(items_clean), "order_id", "left")
     )
     full = at_item_grain(orders_with_customers(orders_clean, customers_clean), items_clean)
-    scaler = encode.Scaler.fit(full, ["price", "shipping_charges", "delivery_time"])
-    coded = encode.label_encode(full, ["customer_state", "order_status"])
     names = {"price": "price_scaled", "shipping_charges": "shipping_scaled",
              "delivery_time": "delivery_time_scaled"}
+    # the few columns of the model input are kept: fitting and scaling read them
+    narrow = _kept(full.select("customer_state", "order_status", *names, "delivery_delay"))
+    scaler = encode.Scaler.fit(narrow, list(names))
+    coded = encode.label_encode(narrow, ["customer_state", "order_status"])
     scaled = coded.withColumns({new: scaler.scaled(old) for old, new in names.items()})
     return {
         "customers_clean": customers_clean,

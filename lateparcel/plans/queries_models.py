@@ -22,7 +22,7 @@ _N = "(SELECT count(*) FROM delays)"
 def _vectors(t, label: str):
     """Vectors of all delivered orders, split and laid out for fitting."""
     marked = sample.train_test_split(
-        t.delays.persist(), KEY, 0.2, label if label == "target" else None
+        t.delays, KEY, 0.2, label if label == "target" else None
     )
     fitted, frame = jobs._vectors(marked, label)
     frame = T.training_layout(frame, KEY).persist()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +68,8 @@ class Tables:
 
     @property
     def delays(self) -> DataFrame:
-        return delay_frame(self.full_orders)
+        """The narrow modelling frame, kept because splits and fits read it several times."""
+        return delay_frame(self.full_orders).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def as_text(frame: DataFrame) -> DataFrame:

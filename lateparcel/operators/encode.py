@@ -115,7 +115,12 @@ class Scaler:
         names = list(names)
         row = frame.agg(
             *[F.avg(F.col(f"`{n}`")).alias(f"m{i}") for i, n in enumerate(names)],
-            *[F.stddev_pop(F.col(f"`{n}`")).alias(f"s{i}") for i, n in enumerate(names)],
+            *[
+                F.when(F.min(F.col(f"`{n}`")) == F.max(F.col(f"`{n}`")), F.lit(0.0))
+                .otherwise(F.stddev_pop(F.col(f"`{n}`")))
+                .alias(f"s{i}")
+                for i, n in enumerate(names)
+            ],
         ).head()
         return Scaler(
             {n: row[f"m{i}"] for i, n in enumerate(names)},

@@ -184,7 +184,7 @@ def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -
     found = predictions.groupBy(*by).agg(
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
-        F.var_pop(label).alias("__var"),
+        F.when(F.min(label) != F.max(label), F.var_pop(label)).otherwise(F.lit(0.0)).alias("__var"),
         F.avg(F.abs(error) / F.greatest(F.abs(label), F.lit(EPSILON))).alias("mape"),
     )
     r2 = F.when(

@@ -58,6 +58,8 @@ def _pair_moments(frame: DataFrame, left: Sequence[Column], right: Sequence[Colu
             F.stddev_pop("a").alias("a_std"),
             F.stddev_pop("b").alias("b_std"),
             F.avg(F.col("a") * F.col("b")).alias("product"),
+            # merging partial sums can leave a constant a tiny deviation, so compare ends
+            ((F.min("a") == F.max("a")) | (F.min("b") == F.max("b"))).alias("constant"),
         )
         .collect()
     )
@@ -71,7 +73,7 @@ def _correlation_frame(frame: DataFrame, names: Sequence[str], pairs, moments) -
     """Square frame of correlations; null where either column is constant."""
     values = [[None] * len(names) for _ in names]
     for (i, j), row in zip(pairs, moments):
-        if row is not None and row["a_std"] and row["b_std"]:
+        if row is not None and not row["constant"]:
             value = row["covariance"] / (row["a_std"] * row["b_std"])
             values[i][j] = values[j][i] = max(-1.0, min(1.0, value))
     return local_table(
@@ -244,9 +246,11 @@ def variance_inflation(
     moments = np.full((len(names), len(names)), np.nan)
     for (i, j), row in zip(cells, found):
         if row is not None:
-            moments[i, j] = moments[j, i] = (
-                row["covariance"] if with_intercept else row["product"]
-            )
+            if with_intercept:
+                value = 0.0 if row["constant"] else row["covariance"]
+            else:
+                value = row["product"]
+            moments[i, j] = moments[j, i] = value
     scale = np.sqrt(np.diag(moments))
     usable = [i for i in range(len(names)) if np.isfinite(scale[i]) and scale[i] > 0]
     unit = moments[np.ix_(usable, usable)] / np.outer(scale[usable], scale[usable])

@@ -92,14 +92,14 @@ _INPUT_KINDS = [
 def _(t):
     from lateparcel.operators.clean import model_input
 
-    return rounded(profile.describe_all(model_input(t.full_orders)), 4)
+    return rounded(profile.describe_all(model_input(t.full_orders)))
 
 
 @query("a9_describe_numbers", with_base(
     _DESCRIBE_SQL.format("price", "raw_items") + " UNION ALL "
     + _DESCRIBE_SQL.format("shipping_charges", "raw_items")))
 def _(t):
-    return rounded(profile.describe_numbers(t.items, ["price", "shipping_charges"]), 4)
+    return rounded(profile.describe_numbers(t.items, ["price", "shipping_charges"]))
 
 
 _ORDER_NAMES = [

@@ -71,12 +71,12 @@ def _(t):
 
 
 _DESCRIBE_SQL = """
-SELECT '{0}' AS "column", count({0}) AS count, round(avg({0}), 4) AS mean,
-       round(stddev_samp({0}), 4) AS std, round(CAST(min({0}) AS DOUBLE), 4) AS min,
-       round(quantile_cont(CAST({0} AS DOUBLE), 0.25), 4) AS p25,
-       round(quantile_cont(CAST({0} AS DOUBLE), 0.5), 4) AS p50,
-       round(quantile_cont(CAST({0} AS DOUBLE), 0.75), 4) AS p75,
-       round(CAST(max({0}) AS DOUBLE), 4) AS max FROM {1}"""
+SELECT '{0}' AS "column", count({0}) AS count, round(avg({0}), 6) AS mean,
+       round(stddev_samp({0}), 6) AS std, round(CAST(min({0}) AS DOUBLE), 6) AS min,
+       round(quantile_cont(CAST({0} AS DOUBLE), 0.25), 6) AS p25,
+       round(quantile_cont(CAST({0} AS DOUBLE), 0.5), 6) AS p50,
+       round(quantile_cont(CAST({0} AS DOUBLE), 0.75), 6) AS p75,
+       round(CAST(max({0}) AS DOUBLE), 6) AS max FROM {1}"""
 
 
 @query("s3_labelled_sink", with_base(
@@ -85,7 +85,7 @@ SELECT '{0}' AS "column", count({0}) AS count, round(avg({0}), 4) AS mean,
 def _(t):
     described = describe_numbers(t.items, ["price", "shipping_charges"])
     path = write_csv(described, scratch_path(t.spark, "describe-csv"))
-    return rounded(read_csv(t.spark, path, described.schema), 4)
+    return rounded(read_csv(t.spark, path, described.schema))
 
 
 @query("s4_order_items", with_base("""
@@ -401,14 +401,14 @@ def _(t):
 
 @query("f10_winsorise", with_base("""
 SELECT order_id, product_id, round(CASE WHEN price > (SELECT quantile_cont(price, 0.99) FROM raw_items)
-         THEN (SELECT quantile_cont(price, 0.99) FROM raw_items) ELSE price END, 4) AS price,
+         THEN (SELECT quantile_cont(price, 0.99) FROM raw_items) ELSE price END, 6) AS price,
        round(CASE WHEN shipping_charges > (SELECT quantile_cont(shipping_charges, 0.99) FROM raw_items)
          THEN (SELECT quantile_cont(shipping_charges, 0.99) FROM raw_items)
-         ELSE shipping_charges END, 4) AS shipping_charges
+         ELSE shipping_charges END, 6) AS shipping_charges
 FROM raw_items"""))
 def _(t):
     capped = clean.winsorise(t.items, ["price", "shipping_charges"])
-    return rounded(capped.drop("seller_id"), 4)
+    return rounded(capped.drop("seller_id"))
 
 
 @query("f11_item_value", with_base("""

@@ -8,13 +8,18 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lateparcel.functions import lenient_number, strict_timestamp
-from lateparcel.operators.checks import columns_of_kind, require_columns, settle_small
+from lateparcel.operators.checks import (
+    SMALL_TABLE_ROWS,
+    columns_of_kind,
+    require_columns,
+    settle_small,
+)
 from lateparcel.operators.clean import only_delivered, with_late_target
 from lateparcel.operators.profile import describe_texts
 from lateparcel.operators.quantile import exact_quantiles
+from lateparcel.operators.rank import WINDOW_DISTINCT, running_counts
 from lateparcel.operators.sample import fraction_sample
 
 # One-hot columns widen the plan, so the number of categories is limited.
@@ -70,7 +75,12 @@ def encode_features(frame: DataFrame, categories: Sequence[str] | None = None) -
     return frame.withColumns(encoded).drop("customer_state", "customer_city")
 
 
-def label_encode(frame: DataFrame, names: Sequence[str], suffix: str = "_enc") -> DataFrame:
+def label_encode(
+    frame: DataFrame,
+    names: Sequence[str],
+    suffix: str = "_enc",
+    small_rows: int = SMALL_TABLE_ROWS,
+) -> DataFrame:
     """Alphabetical code of each value, starting at 0.
 
     One pass finds the distinct (column, value) pairs of all columns.  The code tables are
@@ -91,10 +101,11 @@ def label_encode(frame: DataFrame, names: Sequence[str], suffix: str = "_enc") -
         .where(F.col("value").isNotNull())
         .distinct()
     )
-    ordered = Window.partitionBy("at").orderBy("value")
-    codes = settle_small(
-        pairs.withColumn("code", F.row_number().over(ordered) - F.lit(1))
-    )
+    values = settle_small(pairs, small_rows)
+    many = WINDOW_DISTINCT + 1 if values is pairs else 0
+    codes = running_counts(
+        values.withColumn("n", F.lit(1)), ["at"], "value", "n", many
+    ).withColumn("code", F.col("before").cast("int"))
     for i, name in enumerate(names):
         own = codes.where(F.col("at") == i).select(
             F.col("value").alias(name), F.col("code").alias(f"{name}{suffix}")

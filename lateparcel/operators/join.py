@@ -58,14 +58,16 @@ def orders_per_customer(orders: DataFrame) -> DataFrame:
     )
 
 
-def add_loyalty_target(full_orders: DataFrame) -> DataFrame:
+def add_loyalty_target(full_orders: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Mark every row of a customer with more than one order.
 
-    Counting first combines on the map side and the join back has one row per customer, so a
-    customer who owns a third of all orders is split by AQE instead of filling one window.
+    Counting combines on the map side and the join back has one row per customer, so a customer
+    who owns a third of all orders is split by AQE instead of filling one window.  ``orders``
+    may name the table the orders come from: counting there spares computing a joined
+    ``full_orders`` twice (each order is in it once).
     """
     require_columns(full_orders, ["customer_id", "order_id"], "full_orders")
-    flags = orders_per_customer(full_orders).select(
+    flags = orders_per_customer(full_orders if orders is None else orders).select(
         "customer_id", repeat_flag("orders").alias("loyal_customer")
     )
     return full_orders.join(flags, "customer_id", "inner")

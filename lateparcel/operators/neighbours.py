@@ -262,7 +262,7 @@ class NearestNeighbours:
     cell_points: int = CELL_POINTS
 
     def fit(self, train: DataFrame) -> NeighboursModel:
-        points = (
+        points = cut_lineage(
             train.select(_entries().alias("x"), F.col("label").cast("double").alias("label"))
             .groupBy("x", "label")
             .agg(F.count("*").alias("n"))

@@ -10,17 +10,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lateparcel.functions import hash_below_fraction, portable_hash
-from lateparcel.operators.checks import SMALL_TABLE_ROWS, local_table, settle_small
+from lateparcel.operators.checks import local_table, settle_small
 
 HASH, STRATUM, PART = "__hash", "__stratum", "__part"
 # Hex digits of the bucket: 4096 buckets keep the histogram small next to any big table.
 BUCKET_DIGITS = 3
+MOST_DIGITS = 10
+# Most (class, bucket) counts that may visit the driver; beyond, 16 buckets per class are used.
+MOST_BUCKETS = 1_000_000
+# A bucket with more rows than this is cut again before its rows are ordered.
+BUCKET_ROWS = 2_000_000
+# Copies of a row unfold in pieces of this many.
+COPIES_AT_ONCE = 10_000
 EVERYTHING = "g"  # sorts after every hex digit
 
 
@@ -30,69 +38,131 @@ def _hashed(frame: DataFrame, keys: Sequence[str], seed: int, stratum: str | Non
     return frame.select(label.alias(STRATUM), portable_hash(keys, seed).alias(HASH))
 
 
-def _bucket_counts(hashed: DataFrame) -> DataFrame:
-    """Rows per class and hash bucket; a handful of classes makes this a local relation."""
-    bucket = F.substring(HASH, 1, BUCKET_DIGITS).alias("bucket")
-    return settle_small(hashed.groupBy(STRATUM, bucket).agg(F.count("*").alias("n")))
+Buckets = dict[str, list[tuple[str, int]]]
+
+
+def _bucket_counts(hashed: DataFrame, digits: int) -> Buckets | None:
+    """Rows per class and hash bucket in hash order, or None when there are too many."""
+    counted = hashed.groupBy(STRATUM, F.substring(HASH, 1, digits).alias("bucket")).agg(
+        F.count("*").alias("n")
+    )
+    fetched = counted.limit(MOST_BUCKETS + 1).toArrow()
+    if fetched.num_rows > MOST_BUCKETS:
+        return None
+    found: Buckets = {}
+    for row in sorted(zip(*(fetched[c].to_pylist() for c in (STRATUM, "bucket", "n")))):
+        found.setdefault(row[0], []).append(row[1:])
+    return found
 
 
 def allocate(counts: Mapping[str, int], draws: int) -> dict[str, int]:
     """Share ``draws`` over classes in proportion, largest remainders first, ties by name."""
     total = sum(counts.values())
-    exact = {name: draws * n / total for name, n in counts.items()}
-    given = {name: math.floor(x) for name, x in exact.items()}
+    given = {name: draws * n // total for name, n in counts.items()}
+    rest = {name: draws * n % total for name, n in counts.items()}
     left = draws - sum(given.values())
-    for name in sorted(counts, key=lambda c: (-(exact[c] - given[c]), c))[:left]:
+    for name in sorted(counts, key=lambda c: (-rest[c], c))[:left]:
         given[name] += 1
     return given
 
 
+@dataclass(frozen=True)
+class End:
+    """The bucket in which a quota ends: rows before it, rows in it and what is asked for."""
+
+    label: str
+    position: int
+    quota: int
+    bucket: str
+    before: int
+    rows: int
+
+
+def _end(label: str, position: int, quota: int, before: int, buckets) -> End:
+    for bucket, n in buckets:
+        if quota <= before + n:
+            return End(label, position, quota, bucket, before, n)
+        before += n
+    raise ValueError("quota beyond the rows of its class")
+
+
+def _inside(hashed: DataFrame, ends: Sequence[End], digits: int) -> DataFrame:
+    """Rows of the buckets in which a quota ends."""
+    pairs = sorted({(end.label, end.bucket) for end in ends})
+    table = local_table(
+        hashed.sparkSession,
+        {STRATUM: [p[0] for p in pairs], "bucket": [p[1] for p in pairs]},
+        f"{STRATUM} string, bucket string",
+    )
+    return hashed.withColumn("bucket", F.substring(HASH, 1, digits)).join(
+        table, [STRATUM, "bucket"], "left_semi"
+    )
+
+
+def _refined(hashed: DataFrame, ends: Sequence[End], digits: int) -> list[End]:
+    """The same quotas located in buckets of three more digits."""
+    finer = (
+        _inside(hashed, ends, digits)
+        .groupBy(STRATUM, F.substring(HASH, 1, digits + BUCKET_DIGITS).alias("finer"))
+        .agg(F.count("*").alias("n"))
+        .collect()
+    )
+    parts: dict[tuple[str, str], list] = {}
+    for row in sorted(finer):
+        parts.setdefault((row[STRATUM], row["finer"][:digits]), []).append((row["finer"], row["n"]))
+    return [
+        _end(e.label, e.position, e.quota, e.before, parts[(e.label, e.bucket)]) for e in ends
+    ]
+
+
 def _hash_limits(
     hashed: DataFrame,
-    buckets: DataFrame,
+    buckets: Buckets,
+    digits: int,
     counts: Mapping[str, int],
     quotas: Mapping[str, Sequence[int]],
+    bucket_rows: int,
 ) -> dict[str, list[str]]:
     """For every class and quota the largest hash among the first ``quota`` rows in hash order."""
     limits = {
         label: [EVERYTHING if q >= counts[label] else "" for q in qs]
         for label, qs in quotas.items()
     }
-    open_cuts = [
-        (label, position, quota)
+    ends = [
+        _end(label, position, quota, 0, buckets[label])
         for label, qs in quotas.items()
         for position, quota in enumerate(qs)
         if 0 < quota < counts[label]
     ]
-    if not open_cuts:
+    if not ends:
         return limits
-    cuts = local_table(
-        hashed.sparkSession,
-        dict(zip((STRATUM, "position", "quota"), map(list, zip(*open_cuts)))),
-        f"{STRATUM} string, position int, quota bigint",
-    )
-    earlier = Window.partitionBy(STRATUM).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    ends = settle_small(
-        buckets.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .join(cuts, STRATUM)
-        .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
-        .select(STRATUM, "bucket", "position", "quota", "before")
-    )
-    inside = (
-        hashed.withColumn("bucket", F.substring(HASH, 1, BUCKET_DIGITS))
-        .join(ends.select(STRATUM, "bucket").distinct(), [STRATUM, "bucket"], "left_semi")
+    # a bucket that is still large is cut into finer buckets; copies of one key cannot be cut,
+    # but they collapse to one row below
+    while digits < MOST_DIGITS and max(end.rows for end in ends) > bucket_rows:
+        ends = _refined(hashed, ends, digits)
+        digits += BUCKET_DIGITS
+    values = (
+        _inside(hashed, ends, digits)
         .groupBy(STRATUM, "bucket", HASH)
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("copies"))
     )
     ordered = Window.partitionBy(STRATUM, "bucket").orderBy(HASH)
+    wanted = local_table(
+        hashed.sparkSession,
+        {
+            STRATUM: [e.label for e in ends],
+            "bucket": [e.bucket for e in ends],
+            "position": [e.position for e in ends],
+            "place": [e.quota - e.before for e in ends],
+        },
+        f"{STRATUM} string, bucket string, position int, place bigint",
+    )
     found = (
-        inside.withColumn(
-            "upto", F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+        values.withColumn(
+            "upto", F.sum("copies").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
         )
-        .join(ends, [STRATUM, "bucket"])
-        .where(F.col("before") + F.col("upto") >= F.col("quota"))
+        .join(wanted, [STRATUM, "bucket"])
+        .where(F.col("upto") >= F.col("place"))
         .groupBy(STRATUM, "position")
         .agg(F.min(HASH).alias("limit"))
     )
@@ -113,27 +183,29 @@ def cut_by_hash(
     stratum: str | None = None,
     seed: int = 42,
     only_if_usable: bool = True,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``__part``: 0 for rows up to the first quota of their class, 1 up to the second, …
 
     ``quotas`` turns class sizes into ascending row counts per class.  Class sizes and limits
-    are small tables; a label with more than ``SMALL_TABLE_ROWS`` values is refused, since a
-    stratified split of so many classes is a mistake in the choice of the label.  Classes too
+    are small tables; a label with too many values for them is refused, since a stratified
+    split of so many classes is a mistake in the choice of the label.  Classes too
     small to stratify are ignored when ``only_if_usable`` is set.
     """
     hashed = _hashed(frame, keys, seed, stratum)
-    buckets = _bucket_counts(hashed)
-    sizes = (
-        buckets.groupBy(STRATUM).agg(F.sum("n").alias("n")).limit(SMALL_TABLE_ROWS + 1).collect()
-    )
-    if len(sizes) > SMALL_TABLE_ROWS:
+    digits = BUCKET_DIGITS
+    buckets = _bucket_counts(hashed, digits)
+    if buckets is None:
+        digits = 1
+        buckets = _bucket_counts(hashed, digits)
+    if buckets is None:
         raise ValueError(f"{stratum} has too many distinct values to be a class label")
-    counts = {row[STRATUM]: row["n"] for row in sizes}
+    counts = {label: sum(n for _, n in parts) for label, parts in buckets.items()}
     if stratum is not None and only_if_usable and not _stratify(counts):
-        return cut_by_hash(frame, keys, quotas, None, seed)
+        return cut_by_hash(frame, keys, quotas, None, seed, bucket_rows=bucket_rows)
     if not counts:
         return frame.withColumn(PART, F.lit(0))
-    limits = _hash_limits(hashed, buckets, counts, quotas(counts))
+    limits = _hash_limits(hashed, buckets, digits, counts, quotas(counts), bucket_rows)
     return _assign(frame, keys, seed, stratum, limits)
 
 
@@ -292,7 +364,20 @@ def oversample(
     for value, n in sizes.items():
         times = F.when(name == F.lit(value), F.lit(largest // n)).otherwise(times)
     times = times + F.when(F.col(PART) == 0, F.lit(1)).otherwise(F.lit(0))
-    return marked.withColumn("copy", F.explode(F.sequence(F.lit(1), times))).drop(PART)
+    times = times.cast("bigint")
+    piece = F.lit(COPIES_AT_ONCE)
+    pieces = marked.withColumn("__times", times).withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("__times") - 1) / piece)))
+    )
+    if largest // min(sizes.values()) >= COPIES_AT_ONCE:
+        # few rows with very many copies: spread the pieces over the tasks first
+        pieces = pieces.repartition(*keys, "__piece")
+    first = F.col("__piece") * piece + 1
+    last = F.least(F.col("__times"), (F.col("__piece") + 1) * piece)
+    return (
+        pieces.withColumn("copy", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+        .drop(PART, "__times", "__piece")
+    )
 
 
 def shuffle_order(frame: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:

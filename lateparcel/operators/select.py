@@ -294,7 +294,7 @@ def hash_positions(frame: DataFrame, keys: Sequence[str], seed: int, name: str)
     Hash buckets have even sizes; the rows before a bucket come from a small table of counts.
     """
     hashed = frame.withColumn("__h", portable_hash(keys, seed)).withColumn(
-        "__b", F.substring("__h", 1, 3)
+        "__b", F.substring("__h", 1, 4)
     )
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     counts = hashed.groupBy("__b").agg(F.count("*").alias("__n"))

@@ -256,7 +256,7 @@ SELECT order_id, customer_id, customer_state,
        CAST(count(order_id) OVER (PARTITION BY customer_id) > 1 AS INTEGER) AS loyal_customer
 FROM full_orders WHERE customer_id IS NOT NULL"""))
 def _(t):
-    return join.add_loyalty_target(t.full_orders).select(
+    return join.add_loyalty_target(t.full_orders, t.orders).select(
         "order_id", "customer_id", "customer_state", "loyal_customer"
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lateparcel.operators.clean import clean_customers, order_features
 from lateparcel.operators.encode import delay_frame
 from lateparcel.operators.join import orders_with_customers
+from lateparcel.session import tune
 from lateparcel.sources import load_customers, load_order_items, load_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[["Tables"], D
 
     def register(build: Callable[[Tables], DataFrame]) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return as_text(build(Tables(spark, folder)))
+            return as_text(build(Tables(tune(spark), folder)))
 
         run.__doc__ = build.__doc__
         QUERIES[name] = run

@@ -9,18 +9,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings the operators are planned for; all can change in a running session.
+PLANNING = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join partition also where an aggregate or join above then needs an exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the planning settings to a session made elsewhere."""
+    for key, value in PLANNING.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str = "lateparcel", **overrides: str) -> SparkSession:
-    """Return a session with the settings the operators are planned for.
+    """Return a session with timestamps read as UTC and the planning settings.
 
-    Timestamps are read as UTC.  AQE re-plans joins from measured sizes and cuts hot join
-    partitions into pieces (also where that costs one more exchange later on), so the number of
-    shuffle partitions is only an upper bound that AQE coalesces.
+    AQE re-plans joins from measured sizes and cuts hot join partitions into pieces, and the
+    number of shuffle partitions is only an upper bound that it coalesces.
     """
     settings = {
+        **PLANNING,
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update({key: str(value) for key, value in overrides.items()})

@@ -85,6 +85,27 @@ def test_copies_of_a_key_stay_together_and_hot_keys_do_not_break_quotas(spark):
     assert sides.agg(F.max("n")).head()[0] == 1
 
 
+def test_large_buckets_are_cut_again(labelled):
+    def quotas(counts):
+        return {c: [n // 3, n // 2] for c, n in counts.items()}
+
+    plain = sample.cut_by_hash(labelled, ["order_id"], quotas, "y")
+    finer = sample.cut_by_hash(labelled, ["order_id"], quotas, "y", bucket_rows=0)
+    assert as_set(plain) == as_set(finer)
+    sizes = {(r["y"], r["__part"]): r["count"] for r in plain.groupBy("y", "__part").count().collect()}
+    assert sizes == {(0, 0): 300, (0, 1): 150, (0, 2): 450, (1, 0): 33, (1, 1): 17, (1, 2): 50}
+
+
+def test_copies_unfold_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sample, "COPIES_AT_ONCE", 7)
+    rows = spark.range(101).select(F.col("id").alias("order_id"), (F.col("id") < 3).alias("y"))
+    even = sample.oversample(rows, ["order_id"], "y")
+    assert {r["y"]: r["count"] for r in even.groupBy("y").count().collect()} == {
+        True: 98, False: 98,
+    }
+    assert even.select("order_id", "copy").distinct().count() == 196
+
+
 def test_fraction_sample(labelled):
     got = sample.fraction_sample(labelled, ["order_id"], 0.3).count()
     assert 240 < got < 360
@@ -184,9 +205,10 @@ def test_label_codes_are_alphabetical(spark):
     rows = spark.createDataFrame([("b", "y"), ("a", "x"), ("b", "x"), (None, "x")],
                                  "s string, t string")
     got = encode.label_encode(rows, ["s", "t"])
-    assert as_set(got.select("s", "s_enc", "t_enc")) == {
-        ("b", 1, 1), ("a", 0, 0), ("b", 1, 0), (None, None, 0)
-    }
+    want = {("b", 1, 1), ("a", 0, 0), ("b", 1, 0), (None, None, 0)}
+    assert as_set(got.select("s", "s_enc", "t_enc")) == want
+    spread = encode.label_encode(rows, ["s", "t"], small_rows=1)
+    assert as_set(spread.select("s", "s_enc", "t_enc")) == want
 
 
 def test_delay_frame(spark):

@@ -135,7 +135,9 @@ def capped(value: str, cap: float | None) -> Column:
     return F.when(F.col(value) > F.lit(cap), F.lit(cap)).otherwise(F.col(value))
 
 
-def winsorise(frame: DataFrame, names: Sequence[str], prob: float = 0.99) -> DataFrame:
+def winsorise(
+    frame: DataFrame, names: Sequence[str], prob: float = 0.99, keep: bool = True
+) -> DataFrame:
     """Cap columns at an exact quantile; the caps of all columns come from the same passes."""
-    caps = exact_quantiles(frame, names, [prob])
+    caps = exact_quantiles(frame, names, [prob], keep=keep)
     return frame.withColumns({name: capped(name, caps[name][0]) for name in names})

@@ -32,11 +32,11 @@ CATEGORICAL_FEATURES = ("customer_state",)
 NOT_FEATURES = ("order_id", "customer_id", "loyal_customer", "order_status", "order_year_month")
 
 
-def fit_categories(frame: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted known values per column, from one distinct over (column, value)."""
+def category_counts(frame: DataFrame, names: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Rows per known value of each column, from one shuffle of (column, value) pairs."""
     if not names:
         return {}
-    pairs = (
+    counted = (
         frame.select(
             F.inline(
                 F.array(
@@ -48,13 +48,22 @@ def fit_categories(frame: DataFrame, names: Sequence[str]) -> dict[str, list[str
             )
         )
         .where(F.col("v").isNotNull())
-        .distinct()
+        .groupBy("c", "v")
+        .agg(F.count("*").alias("n"))
         .limit(MOST_CATEGORIES + 1)
         .collect()
     )
-    if len(pairs) > MOST_CATEGORIES:
+    if len(counted) > MOST_CATEGORIES:
         raise ValueError(f"too many categories to encode as columns: {list(names)}")
-    return {n: sorted(row["v"] for row in pairs if row["c"] == n) for n in names}
+    found: dict[str, dict[str, int]] = {n: {} for n in names}
+    for row in counted:
+        found[row["c"]][row["v"]] = row["n"]
+    return found
+
+
+def fit_categories(frame: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted known values per column."""
+    return {n: sorted(values) for n, values in category_counts(frame, names).items()}
 
 
 def one_hot_columns(name: str, values: Sequence[str], kind: str = "int") -> dict[str, Column]:
@@ -291,14 +300,17 @@ class Preprocessor:
         numeric: Sequence[str] = NUMERIC_FEATURES,
         categorical: Sequence[str] = CATEGORICAL_FEATURES,
     ) -> Preprocessor:
-        imputer = Imputer.fit(train, numeric, categorical)
+        counts = category_counts(train, categorical)
+        # most frequent first, the smaller value on a tie
+        modes = {n: min(c, key=lambda v: (-c[v], v)) for n, c in counts.items() if c}
+        imputer = Imputer(Imputer.fit(train, numeric).medians, modes)
         filled = imputer.transform(train)
         return Preprocessor(
             tuple(numeric),
             tuple(categorical),
             imputer,
             Scaler.fit(filled, numeric),
-            fit_categories(filled, categorical),
+            {n: sorted(values) for n, values in counts.items()},
         )
 
     @property

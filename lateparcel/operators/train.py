@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateparcel.functions import portable_hash
-from lateparcel.operators.ensembles import AdaBoost, ExtraTrees, FourierSVC
+from lateparcel.operators.ensembles import AdaBoost, ExtraTrees, FourierSVC, vector_size
 from lateparcel.operators.neighbours import NearestNeighbours
 
+ONE_PASS_FEATURES = 4096  # largest vector of the one-pass linear solver
 DEEPEST = 30  # deepest tree MLlib grows; stands for "no limit"
 Params = Mapping[str, Any]
 
@@ -58,11 +59,6 @@ def _forest(kind, params: Params, subset: str, **extra):
     )
 
 
-def _rows_and_spread(train: DataFrame) -> tuple[float, float]:
-    row = train.agg(F.count("*"), F.stddev_samp("label")).head()
-    return float(row[0]), float(row[1] or 0.0)
-
-
 def _weight_total(train: DataFrame) -> float:
     return float(train.agg(F.sum("weight")).head()[0])
 
@@ -135,32 +131,46 @@ def fit_neighbours(train: DataFrame, params: Params):
 
 def fit_linear(train: DataFrame, params: Params):
     return LinearRegression(
-        regParam=0.0, fitIntercept=bool(params.get("fit_intercept", True)), tol=1e-9, maxIter=500
+        regParam=0.0, fitIntercept=bool(params.get("fit_intercept", True)), tol=float(params.get("tol", 1e-7)), maxIter=500
     ).fit(train)
 
 
-def _penalised(penalty: float, mix: float):
+def _penalised(train: DataFrame, params: Params, penalties: Callable):
+    """Fit with ``penalties(rows, spread)`` = (penalty, share of it on absolute values).
+
+    Spark divides the label by its deviation, which leaves that factor on a square penalty.
+    Up to 4096 features one pass over the rows is enough (its deviation is the population's);
+    beyond, the iterative solver divides by the sample deviation.
+    """
+    one_pass = vector_size(train) <= ONE_PASS_FEATURES
+    spread = F.stddev_pop("label") if one_pass else F.stddev_samp("label")
+    row = train.agg(F.count("*"), spread).head()
+    penalty, mix = penalties(float(row[0]), float(row[1] or 0.0))
     return LinearRegression(
-        regParam=penalty, elasticNetParam=mix, standardization=False, solver="l-bfgs",
-        tol=1e-10, maxIter=2000,
-    )
+        regParam=penalty, elasticNetParam=mix, standardization=False,
+        solver="normal" if one_pass else "l-bfgs",
+        tol=float(params.get("tol", 1e-9)), maxIter=int(params.get("max_iter", 2000)),
+    ).fit(train)
 
 
 def fit_ridge(train: DataFrame, params: Params):
-    """Spark divides the label by its deviation, which leaves that factor on a square penalty."""
-    rows, spread = _rows_and_spread(train)
-    return _penalised(float(params.get("alpha", 1.0)) * spread / rows, 0.0).fit(train)
+    alpha = float(params.get("alpha", 1.0))
+    return _penalised(train, params, lambda rows, spread: (alpha * spread / rows, 0.0))
 
 
 def fit_lasso(train: DataFrame, params: Params):
-    return _penalised(float(params.get("alpha", 1.0)), 1.0).fit(train)
+    alpha = float(params.get("alpha", 1.0))
+    return _penalised(train, params, lambda rows, spread: (alpha, 1.0))
 
 
 def fit_elastic_net(train: DataFrame, params: Params):
     alpha, share = float(params.get("alpha", 1.0)), float(params.get("l1_ratio", 0.5))
-    _, spread = _rows_and_spread(train)
-    penalty = alpha * share + alpha * (1 - share) * spread
-    return _penalised(penalty, alpha * share / penalty).fit(train)
+
+    def penalties(rows: float, spread: float) -> tuple[float, float]:
+        penalty = alpha * share + alpha * (1 - share) * spread
+        return penalty, (alpha * share / penalty if penalty else 0.0)
+
+    return _penalised(train, params, penalties)
 
 
 def fit_forest_regressor(train: DataFrame, params: Params):

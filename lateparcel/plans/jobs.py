@@ -378,8 +378,10 @@ def notebook_preparation(customers: DataFrame, orders: DataFrame, items: DataFra
             ["order_delivered_timestamp", "order_estimated_delivery_date"],
         )
     )
+    # the distinct items feed the caps, the totals and the item rows: shuffled once
+    unique_items = _kept(clean.distinct_rows(items))
     items_clean = clean.with_item_value(
-        clean.winsorise(clean.distinct_rows(items), ["price", "shipping_charges"])
+        clean.winsorise(unique_items, ["price", "shipping_charges"], keep=False)
     )
     orders_clean = (
         clean.order_features(delivered)

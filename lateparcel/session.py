@@ -35,6 +35,8 @@ def build_session(app_name: str = "lateparcel", **overrides: str) -> SparkSessio
         **PLANNING,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call sites for error messages cost several round trips per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key: str(value) for key, value in overrides.items()})
     builder = SparkSession.builder.appName(app_name)

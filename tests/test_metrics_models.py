@@ -109,9 +109,11 @@ def encoded(spark, x, y):
     return frame.select("order_id", "label", "features", F.lit(1.0).alias("weight")).persist()
 
 
-def test_ridge_equals_the_normal_equations(line):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_ridge_equals_the_normal_equations(line, one_pass, monkeypatch):
+    monkeypatch.setattr(T, "ONE_PASS_FEATURES", 4096 if one_pass else 0)
     frame, x, y = line
-    model = T.fit_ridge(frame, {"alpha": 10.0})
+    model = T.fit_ridge(frame, {"alpha": 10.0, "tol": 1e-11})
     xc, yc = x - x.mean(0), y - y.mean()
     want = np.linalg.solve(xc.T @ xc + 10.0 * np.eye(3), xc.T @ yc)
     assert model.coefficients.toArray() == pytest.approx(want, rel=1e-5)
@@ -120,7 +122,7 @@ def test_ridge_equals_the_normal_equations(line):
 def test_linear_without_intercept(line):
     frame, x, y = line
     want = np.linalg.lstsq(x, y, rcond=None)[0]
-    model = T.fit_linear(frame, {"fit_intercept": False})
+    model = T.fit_linear(frame, {"fit_intercept": False, "tol": 1e-10})
     assert model.coefficients.toArray() == pytest.approx(want, rel=1e-6)
     assert model.intercept == 0.0
 
@@ -133,11 +135,13 @@ def net_gradient(x, y, w, l1, l2):
     return np.abs(np.where(w != 0, slope - l1 * np.sign(w), inside)).max()
 
 
-def test_lasso_and_elastic_net_are_optimal(line):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_lasso_and_elastic_net_are_optimal(line, one_pass, monkeypatch):
+    monkeypatch.setattr(T, "ONE_PASS_FEATURES", 4096 if one_pass else 0)
     frame, x, y = line
-    lasso = T.fit_lasso(frame, {"alpha": 0.5}).coefficients.toArray()
+    lasso = T.fit_lasso(frame, {"alpha": 0.5, "tol": 1e-10}).coefficients.toArray()
     assert net_gradient(x, y, lasso, 0.5, 0.0) < 1e-4
-    net = T.fit_elastic_net(frame, {"alpha": 0.4, "l1_ratio": 0.3}).coefficients.toArray()
+    net = T.fit_elastic_net(frame, {"alpha": 0.4, "l1_ratio": 0.3, "tol": 1e-10}).coefficients.toArray()
     assert net_gradient(x, y, net, 0.4 * 0.3, 0.4 * 0.7) < 1e-4
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -275,8 +274,3 @@ class FourierSVC:
         model = FourierModel(weights, shifts, None)
         model.machine = self.fit_linear(model.expand(train), self.params)
         return model
-
-
-def vote_summary(model: AdaBoostModel) -> str:
-    """Votes as JSON text."""
-    return json.dumps([round(v, 6) for v in model.votes])

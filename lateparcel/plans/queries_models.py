@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from lateparcel.operators import encode, metrics, sample, select
 from lateparcel.operators import train as T
 from lateparcel.plans import jobs
+from lateparcel.plans.queries_metrics import _test_errors, _test_metrics
 from lateparcel.plans.queries_sample import KEY, hashed_sql
 from lateparcel.plans.registry import query, rounded, with_base
 from lateparcel.session import scratch_path
+from lateparcel.sources import TableRegistry
 
 _N = "(SELECT count(*) FROM delays)"
 
@@ -216,6 +218,24 @@ _SMALL = jobs.Options(
 )
 
 
+# One setting per family: what these entries show is the whole job.
+_TINY_CLASSIFIERS = {
+    "RandomForest": T.Recipe(
+        T.fit_forest_classifier, {"n_estimators": [5], "max_depth": [3]}, balanced=True
+    )
+}
+_TINY_REGRESSORS = {"Ridge": T.Recipe(T.fit_ridge, {"alpha": [1.0]})}
+_TINY = jobs.Options(
+    classifiers=_TINY_CLASSIFIERS,
+    regressors=_TINY_REGRESSORS,
+    delivery_classifiers=_TINY_CLASSIFIERS,
+    delivery_regressors=_TINY_REGRESSORS,
+    loyalty=T.Recipe(T.fit_forest_classifier, fixed={"n_estimators": 5, "max_depth": 3}),
+    cv_folds=2,
+    parallelism=2,
+)
+
+
 @query("e1_grid_search_classifiers")
 def _(t):
     return rounded(jobs.classification(t.delays, _SMALL)[0]["classification_metrics"], 3)
@@ -330,13 +350,46 @@ def _(t):
     )
 
 
-@query("c5_reporting_missing", with_base("""
+@query("c3_classification")
+def _(t):
+    frames, _ = jobs.classification(t.delays, _TINY)
+    return rounded(frames["classification_importances"], 3)
+
+
+@query("c4_regression")
+def _(t):
+    frames, _ = jobs.regression(t.delays, _TINY)
+    return rounded(frames["regression_importances"], 3)
+
+
+@query("c5_reporting", with_base("""
 SELECT customer_state, count(*) AS count FROM raw_customers GROUP BY customer_state"""))
 def _(t):
     frames = jobs.data_engineering(t.customers, t.orders, t.items)
     return jobs.reporting(frames["model_input"], frames["customers_clean"])["customers_by_state"]
 
 
+@query("c6_weekly_reporting", with_base("""
+SELECT customer_state, count(customer_id) AS customer_id_count,
+       round_even(avg(delivery_delay), 2) AS delivery_delay_mean,
+       round_even(median(delivery_delay), 2) AS delivery_delay_median,
+       round_even(stddev_samp(delivery_delay), 2) AS delivery_delay_std
+FROM full_orders GROUP BY customer_state"""))
+def _(t):
+    frames = jobs.data_engineering(t.customers, t.orders, t.items)
+    errors, scores = _test_errors(t), _test_metrics(t)
+    return jobs.weekly_reporting(frames["model_input_with_target"], errors, scores)[
+        "customers_by_state"
+    ]
+
+
+@query("c7_master")
+def _(t):
+    registry = TableRegistry(t.spark, scratch_path(t.spark, "master"))
+    frames = jobs.master(t.customers, t.orders, t.items, registry, _TINY)
+    return frames["summary_table"]
+
+
 @query("c8_notebook_preparation", with_base("""
 SELECT customer_state_enc, order_status_enc, round((price - avg(price) OVER ()) / stddev_pop(price) OVER (), 4)
          AS price_scaled,

@@ -136,3 +136,21 @@ def test_winner_elsewhere_breaks_ties_by_name(spark):
     )
     row = join.winner_elsewhere(rows, "f1", False, "validation", "test").head()
     assert row.asDict() == {"model": "a", "f1_validation": 0.5, "f1_test": 0.1}
+
+
+def test_a_customer_with_a_third_of_all_orders(spark):
+    orders = spark.range(3000).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("customer_id"),
+    )
+    flagged = join.add_loyalty_target(orders)
+    counts = {r["loyal_customer"]: r["count"] for r in
+              flagged.groupBy("loyal_customer").count().collect()}
+    assert counts == {0: 2000, 1: 1000}
+    assert join.add_loyalty_target(orders, orders).count() == 3000
+    copies = orders.withColumn("seen", -F.col("order_id")).drop("order_id")
+    first = clean.first_per_key(copies, ["customer_id"], ["seen"])
+    assert first.count() == 2001
+    assert first.where("customer_id = -1").head()["seen"] == -2997
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan

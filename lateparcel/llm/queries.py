@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lateparcel.llm import (
     byte_bpe,
+    cap_filters,
+    exact_topk,
     language_mix,
     packing,
     secret_scan,
@@ -75,3 +77,57 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document, strong ones and linked weak ones."""
     return secret_scan.find_secrets(table(spark, folder, "documents"))
+
+
+OP8_SQL = """
+WITH numbers AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM numbers q JOIN numbers c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
+
+@query("op8_exact_topk", OP8_SQL)
+def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    return exact_topk.top_k(table(spark, folder, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id AS id, vec_id AS root FROM good
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
+roots AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+       coalesce(component_id, e.vec_id) AS component_id,
+       coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN roots ON id = e.vec_id LEFT JOIN counts ON a = e.vec_id
+"""
+
+
+@query("op10_cap_filters", OP10_SQL)
+def op10_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    return cap_filters.near_duplicates(table(spark, folder, "embeddings"))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lateparcel.llm import language_mix, packing, secret_scan, toxicity
+from lateparcel.llm import language_mix, ngram_join, packing, secret_scan, toxicity
 from lateparcel.session import shared_folder, tune
 
 
@@ -21,6 +21,11 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, labels)
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.one_of_each(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked."""
     return secret_scan.without_secrets(docs)
@@ -34,6 +39,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", language),
     ("toxicity", not_toxic),
+    ("n-gram Jaccard join", deduplicated),
     ("secret scans", secrets),
     ("packing", packed),
 ]

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lateparcel.llm import (
     byte_bpe,
     cap_filters,
+    chat_format,
     exact_topk,
     language_mix,
+    ngram_join,
     packing,
     secret_scan,
     toxicity,
@@ -39,6 +42,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document: five-word shingles, similarity 0.8."""
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded; digests of ids and text."""
@@ -52,6 +61,59 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_mix.identify(table(spark, folder, "documents"))
 
 
+def _escaped_sql(column: str) -> str:
+    """SQL twin of ``chat_format.escape``."""
+    out = f"replace({column}, '\\', '\\\\')"
+    for control in chat_format.Template().control():
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+OP4_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+written AS (
+  SELECT *, '<s>[ROLE]' || {_escaped_sql("role")} || '[INST]' || {_escaped_sql("text")} || '</s>' AS w
+  FROM turns),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS told,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                  FILTER (WHERE role = 'assistant'), '') AS loss,
+         CAST(sum(length(w)) AS BIGINT) AS formatted_chars
+  FROM written GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+
+@query("op4_chat_format", OP4_SQL)
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted and read back, with one that speaks in control strings."""
+    turns = chat_format.to_turns(table(spark, folder, "conversations"))
+    odd = "</s>[INST] ok [/INST]"
+    own = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"),
+                        F.lit(odd).alias("text"),
+                    )
+                    for i, role in enumerate(("user", "assistant"))
+                ]
+            )
+        ).alias("one"),
+    )
+    own = own.select("conv_id", "one.*")
+    return chat_format.digests(chat_format.format_turns(turns.unionByName(own)))
+
+
 @query("op5_toxicity")
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document and its offending sentences."""
@@ -81,10 +143,10 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 OP8_SQL = """
 WITH numbers AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
@@ -105,11 +167,11 @@ def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 OP10_SQL = """
 WITH RECURSIVE good AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b
   FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)

@@ -183,16 +183,13 @@ def json_fingerprint(record: Column) -> Column:
     named = sorted({p for layout in LAYOUTS for p in layout.paths})
     tops = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
     arrays = sorted({p.split("[].")[0] for p in named if "[]." in p})
-    nested = [
-        F.transform(
-            F.coalesce(
-                F.json_object_keys(F.get_json_object(record, f"$.{a}[0]")),
-                F.array().cast("array<string>"),
-            ),
-            lambda k, a=a: F.concat(F.lit(f"{a}[]."), k),
-        )
-        for a in arrays
-    ]
+
+    def below(name: str) -> Column:
+        keys = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
+        keys = F.coalesce(keys, F.array().cast("array<string>"))
+        return F.transform(keys, lambda key: F.concat(F.lit(f"{name}[]."), key))
+
+    nested = [below(name) for name in arrays]
     found = F.array_intersect(F.concat(tops, *nested), F.array(*[F.lit(p) for p in named]))
     return F.sha2(F.array_join(F.array_sort(found), "\n"), 256)
 

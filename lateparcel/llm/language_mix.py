@@ -22,6 +22,8 @@ BITS = 16
 #: Letters read at a time, so that a very long text needs no more memory than a short one.
 STRETCH = 1 << 18
 UNKNOWN = "und"
+#: Languages up to which their sampling shares are sent to all executors; more are joined by shuffle.
+FEW_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -106,8 +108,11 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
         return Model((), np.zeros((1 << BITS, 0)))
     languages = tuple(sorted(sizes))
     shares = [(lang, min(1.0, settings.rows_per_language / sizes[lang])) for lang in languages]
+    share = spark.createDataFrame(shares, "lang string, share double")
+    if len(shares) <= FEW_LANGUAGES:
+        share = F.broadcast(share)
     chosen = (
-        rows.join(spark.createDataFrame(shares, "lang string, share double"), "lang")
+        rows.join(share, "lang")
         .where(bucket_share("text") < F.col("share"))
         .select("lang", "text")
         .repartition(8)

@@ -60,46 +60,51 @@ def forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) of all ends of ``edges`` (a, b); component is its smallest id.
 
-    Every vertex hooks onto its smallest neighbour, the chains are shortened by pointer jumping,
-    and the graph shrinks to its roots; each round works on the edges that are left. Minima combine
-    before the shuffle, and the joins have one row per key on one side, so that a vertex with very
-    many edges can be split. Null ends and loops are left out.
+    In each round every vertex hooks onto its smallest neighbour and two steps of pointer jumping
+    shorten the chains; then the graph shrinks to the vertices that are hooked onto, with an edge
+    wherever two of them were linked or a chain is not yet at its end. Minima combine before the
+    shuffle, and the joins have one row per key on one side, so that a vertex with very many edges
+    can be split. Null ends and loops are left out.
     """
+
+    def undirected(left: str, right: str) -> list:
+        return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+
     links = cut_lineage(
         edges.where("a is not null and b is not null and a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .select(*undirected("a", "b"))
         .distinct()
     )
-    labels = None
+    labels, rounds = None, 0
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")))
-        while True:
-            above = parent.select(F.col("a").alias("up"), F.col("up").alias("top"))
-            # the top of a root is the root
-            jumped = cut_lineage(
-                parent.join(above, "up").select("a", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved"))
-            )
-            parent = jumped.select("a", "up")
-            if jumped.where("moved").isEmpty():
-                break
+        hooked = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")))
+        # what a hooked vertex is hooked onto is hooked itself, if only onto itself
+        twice = hooked.join(
+            hooked.select(F.col("a").alias("up"), F.col("up").alias("top")), "up"
+        ).select("a", F.col("top").alias("up"))
+        parent = cut_lineage(
+            twice.join(twice.select(F.col("a").alias("up"), F.col("up").alias("top")), "up")
+            .select("a", F.col("top").alias("up"))
+        )
         if labels is None:
             labels = parent.select(F.col("a").alias("id"), F.col("up").alias("component"))
         else:
             renamed = parent.select(F.col("a").alias("component"), F.col("up").alias("newer"))
-            labels = cut_lineage(
-                labels.join(renamed, "component", "left").select(
-                    "id", F.coalesce("newer", "component").alias("component")
-                )
+            labels = labels.join(renamed, "component", "left").select(
+                "id", F.coalesce("newer", "component").alias("component")
             )
+        rounds += 1
+        if rounds % 3 == 0:
+            labels = cut_lineage(labels)
         left = parent.select("a", F.col("up").alias("x"))
         right = parent.select(F.col("a").alias("b"), F.col("up").alias("y"))
+        moved = links.join(left, "a").join(right, "b").select(*undirected("x", "y"))
+        chains = parent.select(F.col("up").alias("b"), F.col("up").alias("x")).distinct().join(
+            right, "b"
+        )
         links = cut_lineage(
-            links.join(left, "a")
-            .join(right, "b")
-            .where("x <> y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct()
+            moved.unionByName(chains.select(*undirected("x", "y"))).where("a <> b").distinct()
         )
         if links.isEmpty():
             return labels

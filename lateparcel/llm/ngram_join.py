@@ -6,9 +6,9 @@ join begins with whole labels and shortens the prefix until the links found say
 been found: a link of similarity s has a common prefix of length d in one of L trees with
 probability 1 - (1 - s^d)^L, so the found ones tell how many are missing.
 
-Candidates are not listed pair by pair where there are many: a full prefix bucket ties its members
-to one of them, and the connected candidates are compared with each other in blocks, by exact
-intersection of their sets. Copies are one class that is compared once.
+Candidates are not listed pair by pair: a prefix bucket ties its members to one of them, and the
+connected candidates are compared with each other in blocks, by exact intersection of their sets.
+Copies are one class that is compared once.
 """
 
 from __future__ import annotations
@@ -38,9 +38,7 @@ class Forest:
     words: int = 5
     trees: int = 32
     depth: int = 8
-    recall: float = 0.9995
-    # members of a prefix bucket up to which its pairs are listed
-    bucket: int = 32
+    recall: float = 0.999
     # members of a block of connected candidates
     block: int = 256
     seed: int = 11
@@ -138,41 +136,23 @@ def sketch(documents: DataFrame, shape: Forest, text: str = "text") -> DataFrame
 def candidate_edges(classes: DataFrame, shape: Forest, depth: int) -> DataFrame:
     """Edges (a, b) that connect the classes with a common prefix of ``depth`` in some tree.
 
-    Counts are combined before the shuffle. A bucket of few members lists its pairs of fitting
-    sizes; a fuller one ties each member to its smallest.
+    Counts are combined before the shuffle; each member of a bucket is tied to the smallest one,
+    so that a bucket of any size gives no more edges than it has members.
     """
     width = 2 * shape.depth
     trees = F.explode(F.sequence(F.lit(0), F.lit(shape.trees - 1)))
-    rows = classes.select("rep", "size", "labels", trees.alias("tree")).select(
-        "rep",
-        "size",
-        F.xxhash64("tree", F.substring("labels", F.col("tree") * width + 1, F.lit(2 * depth))).alias("bucket"),
+    prefix = F.substring("labels", F.col("tree") * width + 1, F.lit(2 * depth))
+    rows = classes.select("rep", "labels", trees.alias("tree")).select(
+        "rep", F.xxhash64("tree", prefix).alias("bucket")
     )
     buckets = (
         rows.groupBy("bucket")
         .agg(F.count("*").alias("members"), F.min("rep").alias("first"))
         .where("members > 1")
+        .select("bucket", "first")
     )
-    held = rows.join(buckets, "bucket")
-    tied = held.where((F.col("members") > shape.bucket) & (F.col("rep") != F.col("first")))
-    few = held.where(F.col("members") <= shape.bucket).groupBy("bucket").agg(
-        F.collect_list(F.struct("rep", "size")).alias("members")  # at most ``bucket`` of them
-    )
-
-    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found: set[tuple[int, int]] = set()
-            for members in frame["members"]:
-                own = sorted((m["rep"], m["size"]) for m in members)
-                for i, (a, n) in enumerate(own):
-                    for b, m in own[i + 1 :]:
-                        if min(n, m) >= shape.least * max(n, m):
-                            found.add((a, b))
-            if found:
-                yield pd.DataFrame(sorted(found), columns=["a", "b"])
-
-    listed = few.select("members").mapInPandas(pairs, "a long, b long")
-    return listed.unionByName(tied.select(F.col("first").alias("a"), F.col("rep").alias("b")))
+    tied = rows.join(buckets, "bucket").where("rep <> first")
+    return tied.select(F.col("first").alias("a"), F.col("rep").alias("b"))
 
 
 def _compare(part: pd.DataFrame, least: float) -> pd.DataFrame | None:

@@ -101,7 +101,7 @@ def test_join_equals_brute_force(spark):
 
 
 def test_hot_groups_are_cut_into_blocks(spark):
-    """A large group of different near copies, in tiny buckets and blocks, and many exact copies."""
+    """A large group of different near copies, in tiny blocks, and many exact copies."""
     rng = random.Random(6)
     words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(3000)]
     base = rng.choices(words, k=150)
@@ -112,7 +112,7 @@ def test_hot_groups_are_cut_into_blocks(spark):
         texts.append(" ".join(own))
     texts += ["the very same text once more here"] * 150
     classes, links = expected(texts)
-    shape = ngram_join.Forest(bucket=8, block=32)
+    shape = ngram_join.Forest(block=32)
     rows = ngram_join.join(documents(spark, texts), shape).collect()
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == {
         i: (classes[i], links[i]) for i in range(len(texts))

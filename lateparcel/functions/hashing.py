@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 def portable_hash(keys: Sequence[str], seed: int = 42) -> Column:
     """md5 hex of ``seed|key|key…``: stands in for a seeded random number per row."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(key).cast("string") for key in keys]))
+    # a null key is marked, so that (null, a) and (a, null) differ
+    parts = [F.coalesce(F.col(key).cast("string"), F.lit("\x00")) for key in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
 def hash_below_fraction(hashed: Column, fraction: float) -> Column:

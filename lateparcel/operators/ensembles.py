@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lateparcel.session import cut_lineage
 
 CHECKPOINT_ROUNDS = 10
-GROUPS, CUTS = 5, 16
+CUTS = 16  # default of the recipe's ``cuts``: random thresholds per feature and draw
 FOURIER_FEATURES = 128
 
 
@@ -176,7 +176,8 @@ class ExtraTrees:
 
     Such trees draw one random threshold per node.  Here every group of trees gets random cut
     points per feature, uniform between its minimum and maximum, and may split at those only;
-    rows are not resampled.
+    rows are not resampled.  ``draws`` is the number of groups (default: one for every four
+    trees, so it grows with them) and ``cuts`` the number of thresholds per feature and group.
     """
 
     params: Mapping[str, Any]
@@ -191,13 +192,14 @@ class ExtraTrees:
             *[F.max(F.col("e")[i]).alias(f"hi{i}") for i in range(size)],
         ).head()
         trees = int(self.params.get("n_estimators", 100))
-        groups = min(GROUPS, trees)
+        groups = min(trees, int(self.params.get("draws", max(5, -(-trees // 4)))))
+        cuts_each = int(self.params.get("cuts", CUTS))
         seed = int(self.params.get("random_state", 42))
         random = np.random.default_rng(seed)
         parts = []
         for group in range(groups):
             cuts = [
-                sorted({float(c) for c in random.uniform(row[f"lo{i}"], row[f"hi{i}"], CUTS)})
+                sorted({float(c) for c in random.uniform(row[f"lo{i}"], row[f"hi{i}"], cuts_each)})
                 for i in range(size)
             ]
             count = trees // groups + (1 if group < trees % groups else 0)

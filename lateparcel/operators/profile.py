@@ -169,8 +169,12 @@ def describe_texts(frame: DataFrame, names: Sequence[str]) -> DataFrame:
     return local_table(frame.sparkSession, table, schema)
 
 
-def describe_all(frame: DataFrame, keep: bool = True) -> DataFrame:
-    """One row per column: numeric statistics for numbers, frequency statistics for the rest."""
+def describe_all(frame: DataFrame, keep: bool = False) -> DataFrame:
+    """One row per column: numeric statistics for numbers, frequency statistics for the rest.
+
+    Each half reads its own columns only; ``keep`` holds the whole frame for both instead, which
+    pays only if the frame is small and costly to compute.
+    """
     numeric = columns_of_kind(frame, "number")
     other = [n for n in frame.columns if n not in numeric]
     nothing = {

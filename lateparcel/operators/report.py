@@ -81,8 +81,34 @@ def chart_table(
     return metrics.select("model", F.inline(F.array(*entries)))
 
 
-def performance_summary(regression: DataFrame, classification: DataFrame) -> DataFrame:
-    """Two lines naming the best regression and classification model."""
+# The sentences of the summaries below, and those for a missing metric table.
+NO_METRICS = (
+    "No se pudieron leer métricas de regresión: falta la tabla",
+    "No se pudieron leer métricas de clasificación: falta la tabla",
+)
+
+
+def _absent(frame: DataFrame, line: int) -> DataFrame:
+    """The line that stands for a metric table that is not there."""
+    return frame.sparkSession.createDataFrame([(line, NO_METRICS[line - 1])], "line int, text string")
+
+
+def performance_summary(
+    regression: DataFrame | None, classification: DataFrame | None
+) -> DataFrame:
+    """Two lines naming the best regression and classification model.
+
+    A missing table gives a line that says so; without both there is nothing to report.
+    """
+    if regression is None or classification is None:
+        known = regression if regression is not None else classification
+        if known is None:
+            raise ValueError("no metric table was given")
+        if regression is None:
+            rest = performance_summary(classification.select("model", F.lit(0.0).alias("rmse")), classification)
+            return _absent(known, 1).unionByName(rest.where("line = 2")).orderBy("line")
+        rest = performance_summary(regression, regression.select("model", F.lit(0.0).alias("f1")))
+        return rest.where("line = 1").unionByName(_absent(known, 2)).orderBy("line")
     by_rmse = best_model(regression, "rmse", ascending=True).select(
         F.lit(1).alias("line"),
         F.format_string(

@@ -359,11 +359,14 @@ def oversample(
     if not sizes or min(sizes.values()) / max(sizes.values()) >= threshold:
         return marked.drop(PART).withColumn("copy", F.lit(1))
     largest = max(sizes.values())
-    times = F.lit(1)
+    repeats = local_table(
+        frame.sparkSession,
+        {STRATUM: list(sizes), "__each": [largest // n for n in sizes.values()]},
+        f"{STRATUM} string, __each bigint",
+    )
     name = F.coalesce(F.col(label).cast("string"), F.lit(""))
-    for value, n in sizes.items():
-        times = F.when(name == F.lit(value), F.lit(largest // n)).otherwise(times)
-    times = times + F.when(F.col(PART) == 0, F.lit(1)).otherwise(F.lit(0))
+    marked = marked.withColumn(STRATUM, name).join(repeats, STRATUM).drop(STRATUM)
+    times = F.col("__each") + F.when(F.col(PART) == 0, F.lit(1)).otherwise(F.lit(0))
     times = times.cast("bigint")
     piece = F.lit(COPIES_AT_ONCE)
     pieces = marked.withColumn("__times", times).withColumn(
@@ -376,7 +379,7 @@ def oversample(
     last = F.least(F.col("__times"), (F.col("__piece") + 1) * piece)
     return (
         pieces.withColumn("copy", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-        .drop(PART, "__times", "__piece")
+        .drop(PART, "__each", "__times", "__piece")
     )
 
 

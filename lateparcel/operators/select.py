@@ -70,6 +70,7 @@ class Trained:
     folds: DataFrame | None = None  # one row per fold with all metrics
     seconds: float = 0.0
     error: str | None = None
+    tried: int = 0
 
 
 def _fold_metrics(train: DataFrame, recipe: Recipe, settings: list[dict], folds: int, task: str,
@@ -134,7 +135,8 @@ def search(
     params = settings[best]
     model = recipe.fit(weighted(train, recipe.balanced), {**recipe.fixed, **params})
     return Trained(
-        name, model, params, scores.where(F.col("setting") == best), time.time() - start
+        name, model, params, scores.where(F.col("setting") == best), time.time() - start,
+        tried=len(settings),
     )
 
 
@@ -155,7 +157,7 @@ def search_all(
         try:
             found.append(search(train, name, recipe, task, scoring, **options))
         except Exception as error:  # noqa: BLE001 - any failure of one family is reported
-            found.append(Trained(name, error=f"{type(error).__name__}: {error}"[:1000]))
+            found.append(Trained(name, error=f"{type(error).__name__}: {error}"))
     return found
 
 

@@ -26,6 +26,7 @@ from lateparcel.operators.ensembles import AdaBoost, ExtraTrees, FourierSVC, vec
 from lateparcel.operators.neighbours import NearestNeighbours
 
 ONE_PASS_FEATURES = 4096  # largest vector of the one-pass linear solver
+ROWS_PER_PART = 200_000  # rows of a training partition
 DEEPEST = 30  # deepest tree MLlib grows; stands for "no limit"
 Params = Mapping[str, Any]
 
@@ -33,9 +34,10 @@ Params = Mapping[str, Any]
 def training_layout(frame: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Fix partitions and row order by key hash, so that seeded fits repeat on any input layout.
 
-    One shuffle for all the fits that follow; keep the result with ``persist``.
+    One shuffle for all the fits that follow; keep the result with ``persist``. The number of
+    partitions follows the rows, so that seeded fits do not change with a session setting.
     """
-    parts = parts or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or max(8, -(-frame.count() // ROWS_PER_PART))
     return (
         frame.withColumn("__h", portable_hash(keys))
         .repartition(parts, "__h")
@@ -45,7 +47,12 @@ def training_layout(frame: DataFrame, keys: Sequence[str], parts: int | None = N
 
 
 def _depth(value: int | None) -> int:
-    return DEEPEST if value is None else min(DEEPEST, int(value))
+    """None is the deepest tree there is; more than that is refused, not cut."""
+    if value is None:
+        return DEEPEST
+    if int(value) > DEEPEST:
+        raise ValueError(f"max_depth {value} is beyond the deepest tree, {DEEPEST}")
+    return int(value)
 
 
 def _forest(kind, params: Params, subset: str, **extra):
@@ -54,6 +61,8 @@ def _forest(kind, params: Params, subset: str, **extra):
         maxDepth=_depth(params.get("max_depth")),
         minInstancesPerNode=max(1, int(params.get("min_samples_split", 2)) // 2),
         featureSubsetStrategy=subset,
+        # thresholds tried per feature
+        maxBins=int(params.get("max_bins", 32)),
         seed=int(params.get("random_state", 42)),
         **extra,
     )

@@ -84,19 +84,20 @@ def _kept(frame: DataFrame) -> DataFrame:
     return frame.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def loyalty(full_orders: DataFrame, options: Options = Options()) -> Frames:
-    """Repeat-purchase target, encoding, split, forest and its evaluation."""
-    flagged = add_loyalty_target(full_orders)
+def loyalty(
+    full_orders: DataFrame, options: Options = Options(), orders: DataFrame | None = None
+) -> Frames:
+    """Repeat-purchase target, encoding, split, forest and its evaluation.
+
+    With ``orders`` (order and customer ids) the repeats are counted there, so that the joined
+    frame is computed once.
+    """
+    flagged = add_loyalty_target(full_orders, orders)
     if "customer_zip_code_prefix" in flagged.columns:
         flagged = flagged.withColumn(
             "customer_zip_code_prefix", lenient_number("customer_zip_code_prefix")
         )
-    encoded = encode.encode_features(flagged)
-    if options.max_rows:
-        encoded = sample.stratified_cap(
-            encoded, KEYS, "loyal_customer", options.max_rows, options.random_state
-        )
-    encoded = _kept(encoded)
+    encoded = _kept(encode.encode_features(flagged))
     marked = sample.train_test_split(
         encoded, KEYS, options.test_size, "loyal_customer", options.random_state
     )
@@ -112,8 +113,14 @@ def loyalty(full_orders: DataFrame, options: Options = Options()) -> Frames:
             KEYS,
         )
     )
+    train = frame.where("split = 'train'")
+    if options.max_rows:
+        # only the rows of the classifier's fit may be capped, never those it is judged on
+        train = sample.stratified_cap(
+            train, KEYS, "label", options.max_rows, options.random_state
+        )
     trained = select.fit_plain(
-        frame.where("split = 'train'"), "RandomForest", options.loyalty,
+        train, "RandomForest", options.loyalty,
         random_state=options.random_state,
     )
     metrics_table = settle_small(
@@ -137,7 +144,7 @@ def _encoded_split(frame: DataFrame, label: str, stratify: bool, options: Option
         "order_id", "split", F.col(label).cast("double").alias("label"), "features"
     )
     train = vectors.where("split = 'train'")
-    if options.max_rows:
+    if options.max_rows and stratify:  # a cap bounds the fit of classifiers only
         train = sample.row_cap(train, KEYS, options.max_rows, options.random_state)
     train = sample.assign_folds(
         train, KEYS, options.cv_folds, "label" if stratify else None, options.random_state
@@ -233,8 +240,8 @@ def delivery_tasks(full_orders: DataFrame, options: Options = Options()) -> Fram
         ),
         "regression_importances": select.feature_importances(reg, names, held),
     }
-    if options.with_importance:
-        forest = next(t for t in reg if t.name == "RandomForest")
+    forest = next((t for t in reg if t.name == "RandomForest" and not t.error), None)
+    if options.with_importance and forest is not None:
         frames["permutation_importances"] = select.permutation_importance(
             forest.model, held.where("split = 'validation'"), KEYS, names,
             options.importance_repeats, seed,

@@ -55,9 +55,9 @@ def _(t):
 
 @query("a7_state_report", with_base("""
 SELECT customer_state, count(customer_id) AS customer_id_count,
-       round_even(avg(delivery_delay), 2) AS delivery_delay_mean,
-       round_even(median(delivery_delay), 2) AS delivery_delay_median,
-       round_even(stddev_samp(delivery_delay), 2) AS delivery_delay_std
+       CAST(round_even(CAST(avg(delivery_delay) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS delivery_delay_mean,
+       CAST(round_even(CAST(median(delivery_delay) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS delivery_delay_median,
+       CAST(round_even(CAST(stddev_samp(delivery_delay) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS delivery_delay_std
 FROM full_orders WHERE customer_state IS NOT NULL GROUP BY customer_state"""))
 def _(t):
     return profile.state_report(t.full_orders)

@@ -110,7 +110,8 @@ raw_orders AS (
               WHEN 'P' THEN 'canceled' END AS order_status,
          o_orderdate AS order_purchase_timestamp, o_orderdate AS order_approved_at,
          shipped AS order_delivered_timestamp,
-         o_orderdate + INTERVAL 1800 DAY AS order_estimated_delivery_date
+         o_orderdate + to_days(1400 + 100 * CAST(substr(o_orderpriority, 1, 1) AS INTEGER)
+           + CAST(floor((o_custkey % 1000) / 4.0) AS INTEGER)) AS order_estimated_delivery_date
   FROM orders LEFT JOIN (
     SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY l_orderkey) s
   ON o_orderkey = l_orderkey),

@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry_points  # noqa: E402
+from lateparcel.operators import report  # noqa: E402
 from lateparcel.plans import jobs  # noqa: E402
 from lateparcel.plans.flagship import late_deliveries_by_state  # noqa: E402
 from lateparcel.plans.registry import Tables  # noqa: E402
@@ -87,3 +88,14 @@ def test_weekly_reporting(spark, small_folder):
         "delivery_time", "customer_zip_code_prefix", "order_month", "order_year"
     }
     assert frames["customers_by_state"].columns[:2] == ["customer_state", "customer_id_count"]
+
+
+def test_summary_lines_without_a_metric_table(spark):
+    regression = spark.createDataFrame([("A", 2.0)], "model string, rmse double")
+    lines = [r["text"] for r in report.performance_summary(regression, None).collect()]
+    assert lines[0] == "Mejor modelo regresión: A (RMSE: 2.00)"
+    assert lines[1].startswith("No se pudieron leer métricas de clasificación")
+    classes = spark.createDataFrame([("B", 0.5)], "model string, f1 double")
+    lines = [r["text"] for r in report.performance_summary(None, classes).collect()]
+    assert lines[0].startswith("No se pudieron leer métricas de regresión")
+    assert lines[1] == "Mejor modelo clasificación: B (F1: 0.500)"

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lateparcel import functions as X
+from lateparcel.operators import train
 
 
 def one(spark, expression):
@@ -82,3 +83,14 @@ def test_texts(spark):
     assert one(spark, X.mean_pm_std(F.lit(0.84123), F.lit(0.02))) == "0.8412 ± 0.0200"
     assert X.params_text({"b": 1, "a": None}) == '{"a":null,"b":1}'
     assert one(spark, X.params_column({"b": F.lit(1), "a": F.lit("x")})) == '{"a":"x","b":1}'
+
+
+def test_hash_tells_where_a_null_is(spark):
+    frame = spark.createDataFrame([(None, "a"), ("a", None), ("a", "")], "x string, y string")
+    assert frame.select(X.portable_hash(["x", "y"])).distinct().count() == 3
+
+
+def test_too_deep_trees_are_refused():
+    assert train._depth(None) == 30 and train._depth(12) == 12
+    with pytest.raises(ValueError, match="40"):
+        train._depth(40)

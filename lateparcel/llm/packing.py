@@ -37,7 +37,7 @@ PIECES = (
     " offset long"
 )
 #: Remembered stretches of one worker come in two generations of at most this size.
-MOST_STRETCHES = 500_000
+MOST_STRETCHES = 200_000
 
 
 @dataclass(frozen=True)

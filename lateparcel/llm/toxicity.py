@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
 STEMS = (4, 5)
 #: Words that a worker remembers before it starts anew.
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 SCHEMA = "score double, predicted int, spans array<struct<start:int,end:int,score:double>>"
 
 
@@ -32,7 +32,7 @@ SCHEMA = "score double, predicted int, spans array<struct<start:int,end:int,scor
 class Settings:
     """The fit reads about ``fit_rows`` labelled rows, each of at most ``fit_chars`` characters."""
 
-    fit_rows: int = 8000
+    fit_rows: int = 6000
     fit_chars: int = 200_000
     # a feature is fitted if this many documents have it and toxic ones have it more often than
     # chance explains, in standard deviations
@@ -79,49 +79,59 @@ def sentences(text: str) -> Iterator[tuple[int, int, set[str]]]:
 
 def train(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
     """Fit the noisy-or of sentence scores to the document labels by Adam steps."""
-    bags = [[words for _, _, words in sentences(t)] for t in texts]
-    keep = [i for i, bag in enumerate(bags) if bag]
-    bags, y = [bags[i] for i in keep], labels[keep].astype(float)
-    if not len(bags) or y.min() == y.max():
+    number: dict[str, int] = {}
+    known: dict[str, tuple[int, ...]] = {}
+
+    def ids_of(word: str) -> tuple[int, ...]:
+        got = known.get(word)
+        if got is None:
+            got = known[word] = tuple(number.setdefault(f, len(number)) for f in features(word))
+        return got
+
+    # feature numbers of all sentences in one row, so that the sample takes little memory
+    parts, sizes, document_of, y, seen_in = [], [], [], [], []
+    for text, label in zip(texts, labels.tolist(), strict=True):
+        bag = [
+            np.fromiter(chain.from_iterable(map(ids_of, words)), np.int32)
+            for _, _, words in sentences(text)
+        ]
+        if bag:
+            sizes += [len(ids) for ids in bag]
+            document_of += [len(y)] * len(bag)
+            parts.append(np.concatenate(bag))
+            seen_in.append(np.unique(parts[-1]))
+            y.append(float(label))
+    y, document_of = np.array(y), np.array(document_of, np.int64)
+    if not len(y) or y.min() == y.max():
         share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.0
         return Model({}, math.log(share / (1 - share)) if 0 < share < 1 else settings.start)
-    bags = [[[f for w in words for f in features(w)] for words in bag] for bag in bags]
-    seen, bad = Counter(), Counter()
-    for bag, toxic in zip(bags, y, strict=True):
-        own = set().union(*bag)
-        seen.update(own)
-        if toxic:
-            bad.update(own)
+    seen = np.bincount(np.concatenate(seen_in), minlength=len(number))
+    toxic_sets = [ids for ids, toxic in zip(seen_in, y, strict=True) if toxic]
+    bad = np.bincount(np.concatenate(toxic_sets), minlength=len(number))
     share = y.mean()
-    words = sorted(
-        w
-        for w, k in bad.items()
-        if (n := seen[w]) >= settings.least_documents
-        and k - n * share >= settings.least_excess * math.sqrt(n * share * (1 - share))
-    )
-    number = {w: i for i, w in enumerate(words)}
-    flat, sentence_of, document_of = [], [], []
-    for d, bag in enumerate(bags):
-        for found in bag:
-            ids = [number[w] for w in found if w in number]
-            flat += ids
-            sentence_of += [len(document_of)] * len(ids)
-            document_of.append(d)
-    flat, sentence_of, document_of = (
-        np.array(x, np.int64) for x in (flat, sentence_of, document_of)
-    )
+    excess = bad - seen * share
+    chosen = (seen >= settings.least_documents) & (bad > 0)
+    chosen &= excess >= settings.least_excess * np.sqrt(seen * share * (1 - share))
+    # numbered by spelling, so that the order of rows does not matter
+    words = sorted(f for f, i in number.items() if chosen[i])
+    place = np.full(len(number), -1, np.int64)
+    place[[number[f] for f in words]] = np.arange(len(words))
+    flat = place[np.concatenate(parts)]
+    sentence_of = np.repeat(np.arange(len(sizes)), sizes)[flat >= 0]
+    flat = flat[flat >= 0]
+    del parts, seen_in, number, known
     n_sentences = len(document_of)
     w, b = np.zeros(len(words)), settings.start
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, settings.rounds + 1):
         z = b + np.bincount(sentence_of, w[flat], n_sentences)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.exp(np.bincount(document_of, np.log1p(-np.minimum(p, 1 - 1e-12)), len(bags)))
+        clean = np.exp(np.bincount(document_of, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y)))
         toxic = np.maximum(1 - clean, 1e-9)
         # slope of the document's log-likelihood by each sentence's logit
         slope = np.where(y > 0, clean / toxic, -1.0)[document_of] * p
-        gw = np.bincount(flat, slope[sentence_of], len(w)) / len(bags) - settings.shrink * np.sign(w)
-        gb = slope.sum() / len(bags)
+        gw = np.bincount(flat, slope[sentence_of], len(w)) / len(y) - settings.shrink * np.sign(w)
+        gb = slope.sum() / len(y)
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         up, down = 1 - 0.9**step, 1 - 0.99**step

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import public_tokenizers as P
 import pytest
+import sentencepiece
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -118,6 +119,61 @@ def test_counts_equal_the_library(spark, small_folder):
     assert [r["n_words"] for r in odd if r["doc_id"] in (0, 1, 2)] == [0, 0, 0]
 
 
+def whole_vocabulary(path):
+    """All pieces as the file has them, and the byte pieces."""
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    ids = range(model.get_piece_size())
+    plain = [i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    pieces = {model.id_to_piece(i) for i in plain}
+    return {p for p in pieces if "▁" not in p[1:]}, sum(model.is_byte(i) for i in ids)
+
+
+def spelled(word, pieces):
+    """Longest pieces of a marked word, characters without a piece as bytes."""
+    rest, out = "▁" + word, []
+    while rest:
+        fit = next((rest[:n] for n in range(min(len(rest), 40), 0, -1) if rest[:n] in pieces), None)
+        if fit and not (out and fit[0] == "▁"):
+            out.append(fit)
+        else:
+            fit = rest[0]
+            out += [f"<0x{b:02X}>" for b in fit.encode()]
+        rest = rest[len(fit) :]
+    return out
+
+
+def test_counts_are_of_the_whole_vocabulary(spark):
+    """Digits, letters without a marked piece and unknown characters are spelled, not cut to one."""
+    path = P.path("piece_bpe_32k.model")
+    pieces, n_bytes = whole_vocabulary(path)
+    assert n_bytes == 256 and "▁" in pieces
+    words = ["2024", "ñción", "ça", "ß", "東京都に住んでいます", "مرحبا", "the", "x𐎀y", "𐎀𐎁", "hello𐎀", "▁", "x▁y", "🙂🙂", "№5"]
+    words += [a + b for a in ("", "a", "ñ", "7", "𐎀") for b in ("ción", "ñññ", "𐎀re", "99th") if a + b]
+    rows = wordpiece_count.count_tokens(documents(spark, words), path).collect()
+    want = {w: spelled(w, pieces) for w in words if len(wordpiece_count.WORD.findall(w)) == 1}
+    assert len(want) > 20
+    for r in rows:
+        if (pieces_ := want.get(words[r["doc_id"]])) is not None:
+            bare = pieces_[0] == "▁"
+            assert (r["n_tokens"], r["n_unknown"]) == (len(pieces_) - bare, 0), words[r["doc_id"]]
+            assert r["n_marks"] == bare
+    assert {words[r["doc_id"]]: r["n_tokens"] for r in rows}["2024"] == 4
+
+
+@given(
+    st.sets(st.text("ab", min_size=1, max_size=4), max_size=8),
+    st.sets(st.text("abé", min_size=1, max_size=4), max_size=8),
+    st.lists(st.text("abé東", min_size=1, max_size=12), max_size=12),
+)
+def test_automaton_with_bytes_is_greedy(marked, following, words):
+    pieces = {"▁", *("▁" + m for m in marked), *following}
+    first = marked | {f for f in following if not wordpiece_count._begun(f, marked, 4)}
+    automaton = wordpiece_count.Automaton(first, following, True)
+    for word in words:
+        out = spelled(word, pieces)
+        assert automaton.count(word) == len(out) - (out[0] == "▁")
+
+
 # --- packing
 
 

@@ -136,3 +136,38 @@ def test_toxicity_edge_rows(spark):
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i in range(200) if i % 4}
     assert toxicity.detect(docs.limit(0), marked).count() == 0
+
+
+def test_long_clean_texts_stay(spark):
+    """Clean held-out texts joined to millions of characters, alone and with one offending sentence."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    rows = docs.join(labels, "doc_id").where(toxicity.held_out()).select("text", "toxic").collect()
+    scored = [(r["text"], r["toxic"], toxicity.score_text(model, r["text"])) for r in rows if r["text"]]
+    # of the clean ones those that are told clean by themselves
+    clean = [t for t, toxic, (s, _) in scored if not toxic and s < 0.5]
+    assert len(clean) > 0.99 * sum(not toxic for _, toxic, _ in scored)
+    text = "\n".join(clean)
+    text = "\n".join([text] * (3_000_000 // len(text) + 1))
+    for n in (200_000, 1_000_000, 3_000_000):
+        score, spans = toxicity.score_text(model, text[:n])
+        assert score < 0.5 and not spans, n
+    long_docs = spark.createDataFrame([(1, text[:3_000_000])], "doc_id long, text string")
+    out, got = toxicity.score(long_docs, model)
+    assert out.first()[got]["predicted"] == 0
+    bad, spans = next((t, x[1]) for t, toxic, x in scored if toxic and x[1])
+    own = bad[spans[0]["start"] : spans[0]["end"]]
+    score, spans = toxicity.score_text(model, text[:1_500_000] + "\n" + own + "\n" + text[1_500_000:])
+    assert score >= 0.5 and len(spans) == 1
+
+
+def test_long_texts_are_in_the_fit(spark):
+    """The only texts that tell what is toxic are over 200,000 characters long."""
+    texts, labels = bags(24)
+    long = [(". ".join(["Nothing to add"] * 14_000) + ". " + t) for t in texts]
+    assert min(map(len, long)) > 200_000
+    marked = spark.createDataFrame([(i, int(x)) for i, x in enumerate(labels)], "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, long), marked)
+    assert [toxicity.score_text(model, t)[0] >= 0.5 for t in long] == [bool(x) for x in labels]

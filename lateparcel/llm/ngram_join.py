@@ -2,9 +2,9 @@
 
 Every document is a set of word shingles. Each tree of the forest has a label for every document, a
 row of MinHash values; documents with a common prefix of a label in some tree are candidates. The
-join begins with whole labels and shortens the prefix until the links found say that enough have
-been found: a link of similarity s has a common prefix of length d in one of L trees with
-probability 1 - (1 - s^d)^L, so the found ones tell how many are missing.
+join begins with the longest prefix that finds links of the least similarity at the wanted rate: a link of
+similarity s has a common prefix of length d in one of L trees with probability 1 - (1 - s^d)^L. More
+similar links are found at a higher rate, so that the rate holds for each link whatever the others are.
 
 Candidates are not listed pair by pair: a prefix bucket ties its members to one of them, and the
 connected candidates are compared with each other in blocks, by exact intersection of their sets.
@@ -38,7 +38,8 @@ class Forest:
     words: int = 5
     trees: int = 32
     depth: int = 8
-    recall: float = 0.999
+    # rate at which links of similarity ``least`` are found at least
+    recall: float = 0.9995
     # members of a block of connected candidates
     block: int = 256
     seed: int = 11
@@ -266,10 +267,21 @@ def estimated_recall(similar: list[tuple[int, int]], shape: Forest, depth: int)
     for hundredths, n in similar:
         s = max(shape.least, hundredths / 100)
         found += n
-        all_ += n / (1 - (1 - s**depth) ** shape.trees)
+        all_ += n / found_rate(s, shape, depth)
     return found / all_ if all_ else 1.0
 
 
+def found_rate(similarity: float, shape: Forest, depth: int) -> float:
+    """Share of the links of this similarity that have a common prefix of ``depth`` in some tree."""
+    return 1 - (1 - similarity**depth) ** shape.trees
+
+
+def needed_depth(shape: Forest) -> int:
+    """The longest prefix that finds links of similarity ``least`` at the rate ``recall``."""
+    enough = (d for d in range(shape.depth, 1, -1) if found_rate(shape.least, shape, d) >= shape.recall)
+    return next(enough, 1)
+
+
 def join(documents: DataFrame, shape: Forest = Forest(), text: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, n_links, copy_id, kept.
 
@@ -285,12 +297,8 @@ def join(documents: DataFrame, shape: Forest = Forest(), text: str = "text") ->
         F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("labels").alias("labels")
     )
     classes = cut_lineage(found.dropDuplicates(["rep"]) if _repeats(found) else found)
-    for depth in range(shape.depth, 0, -1):
-        clusters = connected_components(candidate_edges(classes, shape, depth))
-        links = cut_lineage(verified(documents, classes, clusters, shape, text))
-        similar = links.where("kind = 's'").groupBy("a").agg(F.sum("b").alias("n")).collect()
-        if estimated_recall([(r["a"], r["n"]) for r in similar], shape, depth) >= shape.recall:
-            break
+    clusters = connected_components(candidate_edges(classes, shape, needed_depth(shape)))
+    links = cut_lineage(verified(documents, classes, clusters, shape, text))
     counts = links.where("kind = 'n'").groupBy("a").agg(F.sum("b").alias("n"))
     reached = connected_components(links.where("kind = 'e'").select("a", "b"))
     per_class = counts.join(reached, counts["a"] == reached["id"]).select(

@@ -100,6 +100,30 @@ def test_join_equals_brute_force(spark):
         assert r["kept"] == (r["class_id"] == i)
 
 
+def test_dense_groups_do_not_hide_borderline_links(spark):
+    """Thousands of links near 1.0 next to pairs just above the least similarity."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(5000)]
+    base = rng.choices(words, k=300)
+    texts = [" ".join([*base, rng.choice(words)]) for _ in range(120)]
+    for _ in range(40):
+        own = rng.choices(words, k=100)
+        texts += [" ".join(own), " ".join(own[:82])]
+    classes, links = expected(texts)
+    assert sum(links[i] for i in range(120, 200)) == 80
+    shape = ngram_join.Forest(trees=8, recall=0.99)
+    rows = ngram_join.join(documents(spark, texts), shape).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == {
+        i: (classes[i], links[i]) for i in range(len(texts))
+    }
+
+
+def test_the_rate_holds_for_the_least_similarity():
+    shape = ngram_join.Forest()
+    depth = ngram_join.needed_depth(shape)
+    assert 1 - (1 - 0.8**depth) ** 32 >= 0.9995 > 1 - (1 - 0.8 ** (depth + 1)) ** 32
+
+
 def test_hot_groups_are_cut_into_blocks(spark):
     """A large group of different near copies, in tiny blocks, and many exact copies."""
     rng = random.Random(6)

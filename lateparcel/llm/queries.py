@@ -16,6 +16,7 @@ from lateparcel.llm import (
     language_mix,
     ngram_join,
     packing,
+    period_runs,
     secret_scan,
     toxicity,
     wordpiece_count,
@@ -193,3 +194,10 @@ FROM embeddings e LEFT JOIN roots ON id = e.vec_id LEFT JOIN counts ON a = e.vec
 def op10_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of all vectors at cosine 0.9."""
     return cap_filters.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op12_period_runs")
+def op12_period_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of them with a planted periodic tail."""
+    docs = table(spark, folder, "documents")
+    return period_runs.run_digests(docs, order_of=period_runs.planted_tail)

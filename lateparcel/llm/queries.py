@@ -14,6 +14,7 @@ from lateparcel.llm import (
     chat_format,
     exact_topk,
     language_mix,
+    linear_grouping,
     ngram_join,
     packing,
     period_runs,
@@ -196,6 +197,13 @@ def op10_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
     return cap_filters.near_duplicates(table(spark, folder, "embeddings"))
 
 
+@query("op11_linear_grouping")
+def op11_linear_grouping(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into few sequences of 4096 tokens, only longer ones cut."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return linear_grouping.pack(table(spark, folder, "documents"), path)
+
+
 @query("op12_period_runs")
 def op12_period_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Periodic runs of words of every document, a tenth of them with a planted periodic tail."""

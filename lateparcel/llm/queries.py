@@ -19,6 +19,7 @@ from lateparcel.llm import (
     packing,
     period_runs,
     secret_scan,
+    token_alignment,
     toxicity,
     wordpiece_count,
 )
@@ -209,3 +210,10 @@ def op12_period_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Periodic runs of words of every document, a tenth of them with a planted periodic tail."""
     docs = table(spark, folder, "documents")
     return period_runs.run_digests(docs, order_of=period_runs.planted_tail)
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level and piece tokens of every document aligned, with corpus-wide counts of linked ids."""
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.align_tokens(table(spark, folder, "documents"), *paths)

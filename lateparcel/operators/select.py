@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lateparcel.functions import mean_pm_std, params_text, portable_hash
-from lateparcel.operators import metrics
+from lateparcel.operators import lockstep, metrics
+from lateparcel.operators.blocks import WHOLE, Block, blocks_of, pass_over
 from lateparcel.operators.checks import settle_small
 from lateparcel.operators.sample import balanced_weights
-from lateparcel.operators.train import Recipe, predict
+from lateparcel.operators.train import Recipe, first_trees, predict
 
 FOLD = "fold"
 
@@ -73,25 +74,116 @@ class Trained:
     tried: int = 0
 
 
+def _share(top: float, bottom: float) -> float:
+    return float(top / bottom) if bottom else 0.0
+
+
+def class_scores(counts: np.ndarray) -> dict[str, float]:
+    """The metrics of ``score_predictions`` from the counts of (label, prediction)."""
+    support, guessed, hit = counts.sum(axis=1), counts.sum(axis=0), np.diag(counts)
+    total = counts.sum()
+    tp, fp, fn = counts[1, 1], counts[0, 1], counts[1, 0]
+
+    def weighted(values: list[float]) -> float:
+        return _share(float(np.dot(values, support)), total)
+
+    return {
+        "accuracy": _share(hit.sum(), total),
+        "precision": weighted([_share(h, g) for h, g in zip(hit, guessed)]),
+        "recall": weighted([_share(h, s) for h, s in zip(hit, support)]),
+        "f1_score": weighted([_share(2 * h, g + s) for h, g, s in zip(hit, guessed, support)]),
+        "f1": _share(2 * tp, 2 * tp + fp + fn),
+        "binary_precision": _share(tp, tp + fp),
+        "binary_recall": _share(tp, tp + fn),
+    }
+
+
+def number_scores(sums: np.ndarray) -> dict[str, float]:
+    """R², MAE, MSE, RMSE and MAPE from the sums of one fold."""
+    rows, squares, absolute, relative, first, second = sums
+    mse, mean = squares / rows, first / rows
+    spread = second / rows - mean**2
+    if spread <= 1e-12 * max(second / rows, 1e-300):
+        r2 = 1.0 if mse == 0 else 0.0
+    else:
+        r2 = 1.0 - mse / spread
+    return {
+        "r2": float(r2), "mae": float(absolute / rows), "mse": float(mse),
+        "rmse": float(np.sqrt(mse)), "mape": float(relative / rows),
+    }
+
+
+def score_blocks(blocks: DataFrame, models: Mapping[tuple[int, int], Any], task: str) -> list[dict]:
+    """Metrics of every setting on every fold that its model has not seen, from one pass."""
+    keys = [key for key in models if key[1] != WHOLE]
+
+    def work(block: Block) -> dict[int, np.ndarray]:
+        out = {}
+        for i, (setting, fold) in enumerate(keys):
+            held = block.fold == fold
+            if not held.any():
+                continue
+            model, label = models[setting, fold], block.label[held]
+            found, _ = model.predictions(block.x[held])
+            if task == "regression":
+                error = label - found
+                base = np.maximum(np.abs(label), metrics.EPSILON)
+                out[i] = np.array(
+                    [len(label), error @ error, np.abs(error).sum(), (np.abs(error) / base).sum(),
+                     label.sum(), label @ label]
+                )
+            else:
+                both = label.astype(int) * model.classes + found.astype(int)
+                out[i] = np.bincount(both, minlength=model.classes**2)
+        return out
+
+    rows = []
+    for i, sums in sorted(pass_over(blocks, work).items()):
+        setting, fold = keys[i]
+        if task == "regression":
+            scores = number_scores(sums)
+        else:
+            size = int(round(np.sqrt(len(sums))))
+            scores = class_scores(sums.reshape(size, size))
+        rows.append({"setting": setting, FOLD: fold, **scores})
+    return rows
+
+
+def _tree_groups(settings: list[dict]) -> list[tuple[dict, list[tuple[int, int]]]]:
+    """Settings that differ in their number of trees only: the largest, and (position, trees)."""
+    groups: dict[str, list[int]] = {}
+    for i, s in enumerate(settings):
+        groups.setdefault(str({k: v for k, v in s.items() if k != "n_estimators"}), []).append(i)
+    found = []
+    for members in groups.values():
+        largest = max((settings[i] for i in members), key=lambda s: s.get("n_estimators", 0))
+        found.append((largest, [(i, settings[i].get("n_estimators", 0)) for i in members]))
+    return found
+
+
 def _fold_metrics(train: DataFrame, recipe: Recipe, settings: list[dict], folds: int, task: str,
                   parallelism: int) -> DataFrame:
     """Metrics of every setting on every held-out fold, each fit used once.
 
     The folds of the best setting are the cross-validation scores of the chosen model, so the
-    scores need no fits of their own, and all metrics come from the same predictions.
+    scores need no fits of their own, and all metrics come from the same predictions. Settings that
+    differ in their number of trees are read off the largest forest.
     """
-    def one(job: tuple[int, int]) -> list:
-        position, fold = job
+    def one(job: tuple[dict, list[tuple[int, int]], int]) -> list:
+        params, members, fold = job
         fitted = recipe.fit(
-            weighted(train.where(F.col(FOLD) != fold), recipe.balanced),
-            {**recipe.fixed, **settings[position]},
+            weighted(train.where(F.col(FOLD) != fold), recipe.balanced), {**recipe.fixed, **params}
         )
-        held = predict(fitted, train.where(F.col(FOLD) == fold)).withColumns(
-            {"setting": F.lit(position), FOLD: F.lit(fold)}
-        )
-        return score_predictions(held, task, ["setting", FOLD]).collect()
-
-    jobs = [(p, f) for p in range(len(settings)) for f in range(folds)]
+        rows = []
+        for position, trees in members:
+            model = fitted if len(members) == 1 else first_trees(fitted, trees)
+            held = predict(model, train.where(F.col(FOLD) == fold)).withColumns(
+                {"setting": F.lit(position), FOLD: F.lit(fold)}
+            )
+            rows += score_predictions(held, task, ["setting", FOLD]).collect()
+        return rows
+
+    jobs = [(p, m, f) for p, m in _tree_groups(settings) for f in range(folds)]
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
         rows = [row for part in pool.map(one, jobs) for row in part]
     return train.sparkSession.createDataFrame(rows)
@@ -127,13 +219,31 @@ def search(
         param_settings(recipe.grid) if n_iter is None
         else sampled_settings(recipe.grid, n_iter, seed)
     )
-    scores = _fold_metrics(train, recipe, settings, folds, task, parallelism)
+    models = blocks = None
+    if recipe.paths is not None:
+        # all settings on all folds and on all rows, in the same passes
+        blocks = blocks_of(train)
+        full = [{**recipe.fixed, **s} for s in settings]
+        models = recipe.paths(train, blocks, full, [*range(folds), WHOLE], recipe.balanced)
+    if models is not None:
+        scores = train.sparkSession.createDataFrame(score_blocks(blocks, models, task))
+    else:
+        scores = _fold_metrics(train, recipe, settings, folds, task, parallelism)
     metric, smaller = CHOICES[scoring]
     means = scores.groupBy("setting").agg(F.avg(metric).alias("m"))
     order = F.col("m") if smaller else -F.col("m")
     best = means.agg(F.min_by("setting", F.struct(order, F.col("setting")))).head()[0]
     params = settings[best]
-    model = recipe.fit(weighted(train, recipe.balanced), {**recipe.fixed, **params})
+    if models is None:
+        model = recipe.fit(weighted(train, recipe.balanced), {**recipe.fixed, **params})
+    else:
+        model = models[best, WHOLE]
+        if isinstance(model, lockstep.Machine):
+            lockstep.calibrate(blocks, models, best)
+        if hasattr(model, "settled"):
+            model = model.settled(train.sparkSession)
+    if blocks is not None:
+        blocks.unpersist()
     return Trained(
         name, model, params, scores.where(F.col("setting") == best), time.time() - start,
         tried=len(settings),
@@ -181,9 +291,10 @@ def all_predictions(trained: Sequence[Trained], frame: DataFrame, keep: Sequence
             continue
         scored = predict(t.model, frame)
         score = F.col("score") if "score" in scored.columns else F.lit(None).cast("double")
+        chances = F.col("scores") if "scores" in scored.columns else F.lit(None).cast("array<double>")
         parts.append(
             scored.select(F.lit(t.name).alias("model"), *keep, "label", "prediction",
-                          score.alias("score"))
+                          score.alias("score"), chances.alias("scores"))
         )
     if not parts:
         raise ValueError("no model was trained")
@@ -216,7 +327,9 @@ def classification_report(
     tested = all_predictions(trained, test, []).persist()
     seen = all_predictions(trained, train, [])
     base = metrics.weighted_metrics(tested)
-    area = metrics.roc_auc(tested)
+    several = (tested.agg(F.max("label")).head()[0] or 0) > 1
+    # models without chances have no area where there are more than two classes
+    area = metrics.roc_auc_ovr(tested.where(F.col("scores").isNotNull())) if several else metrics.roc_auc(tested)
     known = metrics.weighted_metrics(seen).select("model", F.col("accuracy").alias("train_accuracy"))
     cv = metrics.fold_summary(fold_table(trained), ["f1_score"]).select(
         "model",

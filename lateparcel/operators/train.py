@@ -10,22 +10,29 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import SparkContext
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateparcel.functions import portable_hash
-from lateparcel.operators.ensembles import AdaBoost, ExtraTrees, FourierSVC, vector_size
+from lateparcel.operators import extra_trees, lockstep
+from lateparcel.operators.blocks import WHOLE, blocks_of
+from lateparcel.operators.boosting import Run, boost, classes_of
 from lateparcel.operators.neighbours import NearestNeighbours
+from lateparcel.operators.stumps import boost_stumps
 
-ONE_PASS_FEATURES = 4096  # largest vector of the one-pass linear solver
 ROWS_PER_PART = 200_000  # rows of a training partition
 DEEPEST = 30  # deepest tree MLlib grows; stands for "no limit"
 Params = Mapping[str, Any]
@@ -76,13 +83,101 @@ def fit_forest_classifier(train: DataFrame, params: Params):
     return _forest(RandomForestClassifier, params, "sqrt", weightCol="weight").fit(train)
 
 
+def _whole(paths: Callable, train: DataFrame, params: Params, weighted: bool = False):
+    """One model on all rows, from the paths that a search would take."""
+    blocks = blocks_of(train.drop("fold"))
+    model = paths(train.drop("fold"), blocks, [params], [WHOLE], weighted)[0, WHOLE]
+    blocks.unpersist()
+    return model
+
+
+def _settings_runs(settings: Sequence[Params], folds: Sequence[int]):
+    """Runs with most rounds, and for each setting the run group that holds it."""
+    kinds: dict[tuple, int] = {}
+    for p in settings:
+        kind = (
+            float(p.get("learning_rate", 0.1)), int(p.get("max_depth", 3)),
+            float(max(1, int(p.get("min_samples_split", 2)) // 2)),
+        )
+        kinds[kind] = max(kinds.get(kind, 0), int(p.get("n_estimators", 100)))
+    order = list(kinds)
+    runs = [Run(f, k[0], k[1], kinds[k], k[2]) for k in order for f in folds]
+
+    def place(p: Params, fold: int) -> int:
+        kind = (
+            float(p.get("learning_rate", 0.1)), int(p.get("max_depth", 3)),
+            float(max(1, int(p.get("min_samples_split", 2)) // 2)),
+        )
+        return order.index(kind) * len(folds) + list(folds).index(fold)
+
+    return runs, place
+
+
+def boosted_paths(classes: int | None) -> Callable:
+    """One boosting run a rate, depth and fold; fewer rounds are its first ones."""
+
+    def paths(train, blocks, settings, folds, weighted):
+        runs, place = _settings_runs(settings, folds)
+        models = boost(train, runs, classes)
+        return {
+            (s, f): models[place(p, f)].prefix(int(p.get("n_estimators", 100)))
+            for s, p in enumerate(settings) for f in folds
+        }
+
+    return paths
+
+
+def stump_paths(train, blocks, settings, folds, weighted):
+    settings = [{"learning_rate": 1.0, "n_estimators": 50, **p} for p in settings]
+    runs, place = _settings_runs(settings, folds)
+    models = boost_stumps(train, runs)
+    return {
+        (s, f): models[place(p, f)].prefix(int(p["n_estimators"]))
+        for s, p in enumerate(settings) for f in folds
+    }
+
+
+def extra_paths(classifier: bool) -> Callable:
+    """One forest a fold holds all settings: fewer trees, less depth, larger nodes."""
+
+    def paths(train, blocks, settings, folds, weighted):
+        classes = max(2, classes_of(blocks)) if classifier else 0
+        first = blocks.select("x", "rows").head()
+        features = len(first["x"]) // 8 // first["rows"]
+        deepest = max(_depth(p.get("max_depth")) for p in settings)
+        plan = extra_trees.Plan(
+            classes, max(1, int(features**0.5)) if classifier else features, deepest,
+            min(int(p.get("min_samples_split", 2)) for p in settings),
+            int(settings[0].get("random_state", 42)),
+        )
+        weight = lockstep.balanced(blocks, folds, classes) if classifier and weighted else None
+        most = max(int(p.get("n_estimators", 100)) for p in settings)
+        grown = extra_trees.grow(blocks, folds, most, plan, weight)
+        return {
+            (s, f): extra_trees.settings_of(grown[f], p) for s, p in enumerate(settings) for f in folds
+        }
+
+    return paths
+
+
+def machine_paths(train, blocks, settings, folds, weighted):
+    return lockstep.machine_paths(blocks, settings, folds, weighted)
+
+
+def odds_paths(train, blocks, settings, folds, weighted):
+    return lockstep.odds_paths(blocks, settings, folds, weighted)
+
+
+def line_paths(family: str) -> Callable:
+    def paths(train, blocks, settings, folds, weighted):
+        return lockstep.linear_paths(blocks, family, settings, folds)
+
+    return paths
+
+
 def fit_boosted_classifier(train: DataFrame, params: Params):
-    return GBTClassifier(
-        maxIter=int(params.get("n_estimators", 100)),
-        stepSize=float(params.get("learning_rate", 0.1)),
-        maxDepth=int(params.get("max_depth", 3)),
-        seed=int(params.get("random_state", 42)),
-    ).fit(train)
+    """Two classes by logistic loss, more by softmax with one tree a class and round."""
+    return _whole(boosted_paths(None), train, params)
 
 
 def fit_logistic(train: DataFrame, params: Params):
@@ -110,26 +205,20 @@ def fit_linear_svc(train: DataFrame, params: Params):
 
 
 def fit_svc(train: DataFrame, params: Params):
-    """Kernel ``linear`` is a linear machine; ``rbf`` one on random Fourier features."""
-    if params.get("kernel", "rbf") == "linear":
-        return fit_linear_svc(train, params)
-    return FourierSVC(params, fit_linear_svc).fit(train)
+    """Kernel ``linear`` or, by landmarks, ``rbf``; scores are calibrated over folds of its own."""
+    return lockstep.fit_machine(train, params)
 
 
 def fit_ada_boost(train: DataFrame, params: Params):
-    return AdaBoost(
-        rounds=int(params.get("n_estimators", 50)),
-        learning_rate=float(params.get("learning_rate", 1.0)),
-        seed=int(params.get("random_state", 42)),
-    ).fit(train)
+    return _whole(stump_paths, train, params)
 
 
 def fit_extra_trees_classifier(train: DataFrame, params: Params):
-    return ExtraTrees(params, classifier=True, depth=_depth(params.get("max_depth"))).fit(train)
+    return _whole(extra_paths(True), train, params)
 
 
 def fit_extra_trees_regressor(train: DataFrame, params: Params):
-    return ExtraTrees(params, classifier=False, depth=_depth(params.get("max_depth"))).fit(train)
+    return _whole(extra_paths(False), train, params)
 
 
 def fit_neighbours(train: DataFrame, params: Params):
@@ -144,42 +233,21 @@ def fit_linear(train: DataFrame, params: Params):
     ).fit(train)
 
 
-def _penalised(train: DataFrame, params: Params, penalties: Callable):
-    """Fit with ``penalties(rows, spread)`` = (penalty, share of it on absolute values).
-
-    Spark divides the label by its deviation, which leaves that factor on a square penalty.
-    Up to 4096 features one pass over the rows is enough (its deviation is the population's);
-    beyond, the iterative solver divides by the sample deviation.
-    """
-    one_pass = vector_size(train) <= ONE_PASS_FEATURES
-    spread = F.stddev_pop("label") if one_pass else F.stddev_samp("label")
-    row = train.agg(F.count("*"), spread).head()
-    penalty, mix = penalties(float(row[0]), float(row[1] or 0.0))
-    return LinearRegression(
-        regParam=penalty, elasticNetParam=mix, standardization=False,
-        solver="normal" if one_pass else "l-bfgs",
-        tol=float(params.get("tol", 1e-9)), maxIter=int(params.get("max_iter", 2000)),
-    ).fit(train)
+def _line(family: str, train: DataFrame, params: Params):
+    """The solution from the Gram matrix, as a model of MLlib's."""
+    return _whole(line_paths(family), train, params).settled(train.sparkSession)
 
 
 def fit_ridge(train: DataFrame, params: Params):
-    alpha = float(params.get("alpha", 1.0))
-    return _penalised(train, params, lambda rows, spread: (alpha * spread / rows, 0.0))
+    return _line("ridge", train, params)
 
 
 def fit_lasso(train: DataFrame, params: Params):
-    alpha = float(params.get("alpha", 1.0))
-    return _penalised(train, params, lambda rows, spread: (alpha, 1.0))
+    return _line("lasso", train, params)
 
 
 def fit_elastic_net(train: DataFrame, params: Params):
-    alpha, share = float(params.get("alpha", 1.0)), float(params.get("l1_ratio", 0.5))
-
-    def penalties(rows: float, spread: float) -> tuple[float, float]:
-        penalty = alpha * share + alpha * (1 - share) * spread
-        return penalty, (alpha * share / penalty if penalty else 0.0)
-
-    return _penalised(train, params, penalties)
+    return _line("net", train, params)
 
 
 def fit_forest_regressor(train: DataFrame, params: Params):
@@ -187,12 +255,24 @@ def fit_forest_regressor(train: DataFrame, params: Params):
 
 
 def fit_boosted_regressor(train: DataFrame, params: Params):
-    return GBTRegressor(
-        maxIter=int(params.get("n_estimators", 100)),
-        stepSize=float(params.get("learning_rate", 0.1)),
-        maxDepth=int(params.get("max_depth", 3)),
-        seed=int(params.get("random_state", 42)),
-    ).fit(train)
+    return _whole(boosted_paths(0), train, params)
+
+
+def first_trees(model: Any, trees: int) -> Any:
+    """The forest of the first trees of one of MLlib's forests."""
+    java = model._java_obj
+    every = list(java.trees())
+    kind = every[0].getClass()
+    gateway = SparkContext._active_spark_context._gateway
+    some = gateway.new_array(getattr(gateway.jvm, kind.getName()), trees)
+    for i in range(trees):
+        some[i] = every[i]
+    own = [java.uid(), some, java.numFeatures()]
+    if isinstance(model, RandomForestClassificationModel):
+        own.append(java.numClasses())
+    package = java.getClass().getName()
+    cut = getattr(gateway.jvm, package)(*own)
+    return type(model)(java.copyValues(cut, java.extractParamMap()))
 
 
 @dataclass(frozen=True)
@@ -203,6 +283,9 @@ class Recipe:
     grid: dict[str, list] = field(default_factory=dict)
     balanced: bool = False
     fixed: dict[str, Any] = field(default_factory=dict)
+    # models of all settings and folds at once: (train, blocks, settings, folds, balanced) to
+    # {(setting, fold): model}; None where the family cannot
+    paths: Callable | None = None
 
 
 # The search grids of the classification and regression reports.
@@ -215,26 +298,30 @@ CLASSIFIERS: dict[str, Recipe] = {
     "GradientBoosting": Recipe(
         fit_boosted_classifier,
         {"n_estimators": [50, 100], "learning_rate": [0.1, 0.2], "max_depth": [3, 5]},
+        paths=boosted_paths(None),
     ),
     "LogisticRegression": Recipe(
-        fit_logistic, {"C": [0.1, 1, 10]}, balanced=True, fixed={"max_iter": 500}
+        fit_logistic, {"C": [0.1, 1, 10]}, balanced=True, fixed={"max_iter": 500},
+        paths=odds_paths,
     ),
     "SVC": Recipe(
         fit_svc,
         {"C": [0.1, 1, 10], "kernel": ["rbf", "linear"], "gamma": ["scale"]},
         balanced=True,
-        fixed={"max_iter": 1000},
+        paths=machine_paths,
     ),
     "KNN": Recipe(
         fit_neighbours, {"n_neighbors": [3, 5, 7], "weights": ["uniform", "distance"]}
     ),
     "AdaBoost": Recipe(
-        fit_ada_boost, {"n_estimators": [50, 100], "learning_rate": [0.1, 0.5, 1.0]}
+        fit_ada_boost, {"n_estimators": [50, 100], "learning_rate": [0.1, 0.5, 1.0]},
+        paths=stump_paths,
     ),
     "ExtraTrees": Recipe(
         fit_extra_trees_classifier,
         {"n_estimators": [50, 100], "max_depth": [10, 20]},
         balanced=True,
+        paths=extra_paths(True),
     ),
 }
 REGRESSORS: dict[str, Recipe] = {
@@ -245,36 +332,45 @@ REGRESSORS: dict[str, Recipe] = {
     "GradientBoosting": Recipe(
         fit_boosted_regressor,
         {"n_estimators": [50, 100], "learning_rate": [0.1, 0.2], "max_depth": [3, 5]},
+        paths=boosted_paths(0),
+    ),
+    "LinearRegression": Recipe(
+        fit_linear, {"fit_intercept": [True, False]}, paths=line_paths("linear")
     ),
-    "LinearRegression": Recipe(fit_linear, {"fit_intercept": [True, False]}),
-    "Ridge": Recipe(fit_ridge, {"alpha": [0.1, 1.0, 10.0]}),
-    "Lasso": Recipe(fit_lasso, {"alpha": [0.1, 1.0, 10.0]}),
+    "Ridge": Recipe(fit_ridge, {"alpha": [0.1, 1.0, 10.0]}, paths=line_paths("ridge")),
+    "Lasso": Recipe(fit_lasso, {"alpha": [0.1, 1.0, 10.0]}, paths=line_paths("lasso")),
     "ElasticNet": Recipe(
-        fit_elastic_net, {"alpha": [0.1, 1.0], "l1_ratio": [0.3, 0.5, 0.7]}
+        fit_elastic_net, {"alpha": [0.1, 1.0], "l1_ratio": [0.3, 0.5, 0.7]},
+        paths=line_paths("net"),
     ),
     "ExtraTrees": Recipe(
-        fit_extra_trees_regressor, {"n_estimators": [50, 100], "max_depth": [10, 20]}
+        fit_extra_trees_regressor, {"n_estimators": [50, 100], "max_depth": [10, 20]},
+        paths=extra_paths(False),
     ),
 }
 # The grids of the delivery task.
 DELIVERY_REGRESSORS: dict[str, Recipe] = {
-    "LinearRegression": Recipe(fit_linear),
+    "LinearRegression": Recipe(fit_linear, paths=line_paths("linear")),
     "RandomForest": Recipe(
         fit_forest_regressor, {"n_estimators": [200, 300], "max_depth": [None, 12]}
     ),
     "GradientBoosting": Recipe(
-        fit_boosted_regressor, {"n_estimators": [200, 300], "learning_rate": [0.05, 0.1]}
+        fit_boosted_regressor, {"n_estimators": [200, 300], "learning_rate": [0.05, 0.1]},
+        paths=boosted_paths(0),
     ),
 }
 DELIVERY_CLASSIFIERS: dict[str, Recipe] = {
-    "LogisticRegression": Recipe(fit_logistic, {"C": [0.1, 1.0, 10.0]}, balanced=True),
+    "LogisticRegression": Recipe(
+        fit_logistic, {"C": [0.1, 1.0, 10.0]}, balanced=True, paths=odds_paths
+    ),
     "RandomForestClassifier": Recipe(
         fit_forest_classifier,
         {"n_estimators": [200, 300], "max_depth": [None, 12]},
         balanced=True,
     ),
     "SVC": Recipe(
-        fit_svc, {"C": [0.5, 1.0], "gamma": ["scale", "auto"]}, balanced=True
+        fit_svc, {"C": [0.5, 1.0], "gamma": ["scale", "auto"]}, balanced=True,
+        paths=machine_paths,
     ),
 }
 # Wider grids and the fourth classifier of the exploratory notebook.
@@ -287,6 +383,7 @@ NOTEBOOK_REGRESSORS: dict[str, Recipe] = {
     "GradientBoosting": Recipe(
         fit_boosted_regressor,
         {"n_estimators": [200, 300], "learning_rate": [0.05, 0.1], "max_depth": [2, 3]},
+        paths=boosted_paths(0),
     ),
 }
 NOTEBOOK_CLASSIFIERS: dict[str, Recipe] = {
@@ -302,9 +399,11 @@ LOYALTY_FOREST = Recipe(fit_forest_classifier, fixed={"n_estimators": 100, "max_
 
 
 def predict(model: Any, frame: DataFrame) -> DataFrame:
-    """Add ``prediction`` and, where the model ranks rows, ``score``."""
+    """Add ``prediction`` and, where the model ranks rows, ``score``; with chances also ``scores``."""
     scored = model.transform(frame)
     extra = [n for n in ("probability", "rawPrediction") if n in scored.columns]
     if "score" not in scored.columns and extra:
         scored = scored.withColumn("score", F.get(vector_to_array(extra[0]), F.lit(1)))
+    if "scores" not in scored.columns and "probability" in extra:
+        scored = scored.withColumn("scores", vector_to_array("probability"))
     return scored.drop("probability", "rawPrediction")

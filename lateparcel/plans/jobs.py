@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateparcel.functions import clean_city, clean_state, lenient_number
-from lateparcel.operators import clean, encode, metrics, profile, relate, report, sample, select
+from lateparcel.operators import clean, encode, metrics, profile, relate, report, sample, select, store
 from lateparcel.operators.checks import settle_small
 from lateparcel.operators.join import (
     add_loyalty_target,
@@ -322,11 +322,14 @@ def weekly_training(
 
 
 def save_models(models: Mapping[str, Any], folder: str) -> dict[str, str]:
-    """Save MLlib models below ``folder``; returns the paths."""
+    """Save models of every family below ``folder``; returns the paths."""
     paths = {}
     for name, model in models.items():
         paths[name] = f"{folder.rstrip('/')}/{name}"
-        model.write().overwrite().save(paths[name])
+        if hasattr(model, "write"):
+            model.write().overwrite().save(paths[name])
+        else:
+            store.save(SparkSession.getActiveSession(), model, paths[name])
     return paths
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lateparcel.operators import encode, metrics, report, sample, select
 from lateparcel.operators import train as T
-from lateparcel.operators.ensembles import AdaBoost
+from lateparcel.operators.stumps import AdaBoost
 from lateparcel.operators.neighbours import NearestNeighbours
 
 
@@ -109,9 +109,7 @@ def encoded(spark, x, y):
     return frame.select("order_id", "label", "features", F.lit(1.0).alias("weight")).persist()
 
 
-@pytest.mark.parametrize("one_pass", [True, False])
-def test_ridge_equals_the_normal_equations(line, one_pass, monkeypatch):
-    monkeypatch.setattr(T, "ONE_PASS_FEATURES", 4096 if one_pass else 0)
+def test_ridge_equals_the_normal_equations(line):
     frame, x, y = line
     model = T.fit_ridge(frame, {"alpha": 10.0, "tol": 1e-11})
     xc, yc = x - x.mean(0), y - y.mean()
@@ -135,9 +133,7 @@ def net_gradient(x, y, w, l1, l2):
     return np.abs(np.where(w != 0, slope - l1 * np.sign(w), inside)).max()
 
 
-@pytest.mark.parametrize("one_pass", [True, False])
-def test_lasso_and_elastic_net_are_optimal(line, one_pass, monkeypatch):
-    monkeypatch.setattr(T, "ONE_PASS_FEATURES", 4096 if one_pass else 0)
+def test_lasso_and_elastic_net_are_optimal(line):
     frame, x, y = line
     lasso = T.fit_lasso(frame, {"alpha": 0.5, "tol": 1e-10}).coefficients.toArray()
     assert net_gradient(x, y, lasso, 0.5, 0.0) < 1e-4
@@ -192,15 +188,12 @@ def test_curved_classes_are_learned(rings, fit, params, least):
 def test_boosting_matches_its_own_definition(rings):
     frame, x, y = rings
     model = AdaBoost(rounds=3, learning_rate=0.5).fit(frame)
-    guesses = []
-    for stump in model.stumps:
-        rows = stump.transform(frame).orderBy("order_id").select("prediction").collect()
-        guesses.append(np.array([r[0] for r in rows]))
     weights = np.full(len(y), 1 / len(y))
-    for guess, vote in zip(guesses, model.votes):
+    for stump in model.stumps:
+        guess = np.where(x[:, stump.feature] <= stump.cut, stump.left, stump.right)
         error = weights[guess != y].sum() / weights.sum()
-        assert vote == pytest.approx(0.5 * np.log((1 - error) / error), rel=1e-6)
-        weights = weights * np.exp(vote * (guess != y))
+        assert stump.vote == pytest.approx(0.5 * np.log((1 - error) / error), rel=1e-6)
+        weights = weights * np.exp(stump.vote * (guess != y))
         weights /= weights.sum()
 
 

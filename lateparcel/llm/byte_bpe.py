@@ -13,10 +13,12 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
@@ -27,8 +29,11 @@ from lateparcel.llm.rows import annotate, text_or_empty
 
 #: Unicode White_Space, what \s means to the rank files' own library.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
-#: Most states, and most remembered pieces, of one worker; beyond it they are built anew.
-MOST_STATES, MOST_PIECES = 250_000, 300_000
+#: Most states of one worker, beyond which they are built anew, and most remembered pieces of one of
+#: two generations.
+MOST_STATES, MOST_PIECES = 250_000, 200_000
+#: Tokens that are decoded together.
+BLOCK_TOKENS = 1 << 16
 
 
 def split_pattern(pattern: str = public_tokenizers.PATTERN) -> regex.Pattern:
@@ -242,6 +247,31 @@ class Utf8Stream:
                     out.append(chr(byte) if due == 0 else "�")
         return "".join(out)
 
+    def feed_bytes(self, data: bytes) -> str:
+        """Text of a block of bytes; a character that it cuts waits for the next block.
+
+        The machine itself looks at the last few bytes only, which may be such a beginning. The
+        bytes before them end between characters, so that they are decoded together.
+        """
+        data = bytes(self.open) + data
+        self.open.clear()
+        self.due = 0
+        end = len(data)
+        for at in range(max(0, end - 3), end):
+            due, low, high = self.START.get(data[at], (-1, 0, 0))
+            if due < end - at:
+                continue  # no beginning, or one whose bytes are all there
+            for byte in data[at + 1 :]:
+                if not low <= byte <= high:
+                    break
+                due, low, high = due - 1, 0x80, 0xBF
+            else:
+                self.open += data[at:]
+                self.due, self.low, self.high = due, low, high
+                end = at
+                break
+        return data[:end].decode("utf-8", "replace")
+
     def finish(self) -> str:
         left = "�" if self.due else ""
         self.open.clear()
@@ -250,16 +280,25 @@ class Utf8Stream:
 
 
 class _Pieces(dict):
-    """Encoded stretches of text by their spelling: (ids, ids as text)."""
+    """What was made of stretches of text, in two generations: those in use and those before them."""
 
-    def __init__(self, make: Callable[[str], tuple[int, ...]], lead: str) -> None:
+    def __init__(self, make: Callable[[str], tuple]) -> None:
         super().__init__()
-        self.make, self.lead = make, lead
-
-    def __missing__(self, stretch: str) -> tuple[int, ...]:
-        got = self[stretch] = self.make(self.lead + stretch)
+        self.make = make
+        self.older: dict[str, tuple] = {}
+
+    def __missing__(self, stretch: str) -> tuple:
+        got = self.older.get(stretch)
+        if got is None:
+            got = self.make(stretch)
+        self[stretch] = got
         return got
 
+    def tidy(self) -> None:
+        if len(self) > MOST_PIECES:
+            self.older = dict(self)
+            self.clear()
+
 
 class Codec:
     """Encode and decode whole texts with one rank file."""
@@ -269,57 +308,56 @@ class Codec:
         self.find = split_pattern(pattern).findall
         self.may_cut = pattern == public_tokenizers.PATTERN
         self.odd = regex.compile(rf"\x20(?=[{WHITE_SPACE}\x1c-\x1f]|\Z)").search
-        self.piece = _Pieces(lambda s: self.machine.encode(s.encode("utf-8")), "")
-        self.after_space = _Pieces(self._stretch, " ")
+        self.piece = _Pieces(lambda s: self.machine.encode(s.encode("utf-8")))
+        self.after_space = _Pieces(lambda s: self._packed(" " + s))
         self.spelled = [str(i) for i in range(max(self.machine.word) + 1)]
-        self.whole: dict[int, str] = {}
+        self.words = np.empty(len(self.spelled), object)
         for rank, token in self.machine.word.items():
-            try:
-                self.whole[rank] = token.decode("utf-8")
-            except UnicodeDecodeError:
-                pass
+            self.words[rank] = token
 
     def _stretch(self, text: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self.piece.__getitem__, self.find(text))))
 
+    def _packed(self, text: str) -> tuple[bytes, str]:
+        """Ids of a stretch as 32-bit numbers, and as decimal numbers joined by one space."""
+        ids = self._stretch(text)
+        return array("i", ids).tobytes(), " ".join(map(self.spelled.__getitem__, ids))
+
     def tidy(self) -> None:
         """Bound the memory of what is remembered."""
-        for kept in (self.piece, self.after_space):
-            if len(kept) > MOST_PIECES:
-                kept.clear()
+        self.piece.tidy()
+        self.after_space.tidy()
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text.
+    def parts(self, text: str) -> list[tuple[bytes, str]]:
+        """Packed stretches of a text.
 
         With the stock pattern a match always begins at a space before a visible character, so
         the text may be cut there and stretches are looked up by spelling.
         """
         if not self.may_cut or self.odd(text):
-            return list(self._stretch(text))
+            return [self._packed(text)] if text else []
         head, *rest = text.split(" ")
-        ids = list(self._stretch(head))
-        ids.extend(chain.from_iterable(map(self.after_space.__getitem__, rest)))
-        return ids
+        found = list(map(self.after_space.__getitem__, rest))
+        return [self._packed(head), *found] if head else found
 
-    def text_of(self, ids: list[int]) -> str:
-        """Ids as decimal numbers joined by one space."""
-        return " ".join(map(self.spelled.__getitem__, ids))
+    def encode_array(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([ids for ids, _ in self.parts(text)]), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return self.encode_array(text).tolist()
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.machine.word.__getitem__, ids))
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of the ids. Runs of tokens that are whole characters skip the byte machine."""
-        try:
-            return "".join(map(self.whole.__getitem__, ids))
-        except KeyError:
-            pass
+    def decode(self, ids) -> str:
+        """Text of the ids: blocks of token bytes go through the byte machine one after the other."""
+        ids = np.asarray(ids, np.int32)
         stream = Utf8Stream(self.machine.word.__getitem__)
-        out: list[str] = []
-        whole = self.whole.get
-        for token in ids:
-            text = None if stream.due else whole(token)
-            out.append(stream.feed((token,)) if text is None else text)
+        out = [
+            stream.feed_bytes(b"".join(self.words[ids[at : at + BLOCK_TOKENS]].tolist()))
+            for at in range(0, len(ids), BLOCK_TOKENS)
+        ]
         out.append(stream.finish())
         return "".join(out)
 
@@ -367,12 +405,13 @@ def encode_digests(documents: DataFrame, ranks_path: str, text: str = "text") ->
             coder.tidy()
             rows = []
             for t in texts:
-                ids = coder.encode(t)
+                parts = coder.parts(t)
+                ids = np.frombuffer(b"".join([i for i, _ in parts]), np.int32)
                 back = coder.decode(ids)
                 rows.append(
                     (
                         len(ids),
-                        hashlib.sha256(coder.text_of(ids).encode()).hexdigest(),
+                        hashlib.sha256(" ".join([d for _, d in parts]).encode()).hexdigest(),
                         hashlib.sha256(back.encode("utf-8")).hexdigest(),
                         len(back),
                     )

@@ -2,17 +2,18 @@
 
 Strong findings stand alone: an assignment to a secret's name, an access identifier, a long
 hexadecimal string. Weak candidates - a bare key-like string, a temporary access identifier, an
-endpoint, an account name - mean little by themselves. Each part claims an interval of text around
-it; parts whose intervals meet inside one scope are linked, and weak candidates are told only when
-the linked parts complement each other.
+endpoint, an account name - mean little by themselves. Each is told only with a complementary part
+(identifier and secret, secret and endpoint) near itself inside one scope: an interval join by role.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -97,28 +98,52 @@ def weak_spans(text: str) -> list[Span]:
     ]
 
 
+#: Roles that make a part of each role more than itself.
+COMPLEMENTS = {"identifier": ("secret",), "endpoint": ("secret",), "secret": ("identifier", "endpoint")}
+
+
+class Intervals:
+    """Intervals of one role, for the nearest before and after a place."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        spans = sorted(spans, key=lambda s: (s[1], s[2]))
+        self.starts = [s[1] for s in spans]
+        self.furthest = list(accumulate((s[2] for s in spans), max))
+
+    def around(self, start: int) -> tuple[int | None, int | None]:
+        """Greatest end of those that begin before ``start``, and the next begin from there on."""
+        at = bisect_left(self.starts, start)
+        return (
+            self.furthest[at - 1] if at else None,
+            self.starts[at] if at < len(self.starts) else None,
+        )
+
+
 def linked(text: str, strong: list[Span], weak: list[Span], reach: Reach) -> list[Span]:
-    """The weak spans that a complementary part accompanies.
+    """The weak spans with a complementary part within reach and no scope end in between.
 
-    Parts join into one group while the next begins within reach of the end of those before it and
-    no scope ends in between. A weak span is told if its group has an identifier and a secret, or a
-    secret and an endpoint, and the span is part of that pair: a lone role adds nothing.
+    An interval join by role: the part before with the greatest end and the part after with the
+    least begin are the nearest ones; where neither will do, no other part does, as all that lies
+    between is larger for it.
     """
-    parts = sorted([*strong, *weak], key=lambda s: (s[1], s[2]))
-    weak_set, told = set(weak), []
-    at = 0
-    while at < len(parts):
-        end, upto = parts[at][2], at + 1
-        while upto < len(parts) and parts[upto][1] - end <= reach.characters:
-            if parts[upto][1] > end and reach.scope_end in text[end : parts[upto][1]]:
-                break
-            end = max(end, parts[upto][2])
-            upto += 1
-        group = parts[at:upto]
-        roles = {ROLE[k] for k, _, _ in group}
-        if "secret" in roles and roles & {"identifier", "endpoint"}:
-            told += [s for s in group if s in weak_set]
-        at = upto
+    by_role: dict[str, list[Span]] = {}
+    for span in (*strong, *weak):
+        by_role.setdefault(ROLE[span[0]], []).append(span)
+    intervals = {role: Intervals(spans) for role, spans in by_role.items()}
+
+    def near(end: int | None, begin: int | None) -> bool:
+        if end is None or begin is None:
+            return False
+        return begin <= end or (begin - end <= reach.characters and reach.scope_end not in text[end:begin])
+
+    told = []
+    for span in weak:
+        for role in COMPLEMENTS[ROLE[span[0]]]:
+            if role in intervals:
+                before, after = intervals[role].around(span[1])
+                if near(before, span[1]) or near(span[2], after):
+                    told.append(span)
+                    break
     return told
 
 

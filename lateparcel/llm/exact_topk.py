@@ -18,6 +18,8 @@ from lateparcel.session import cut_lineage
 
 #: Rows of a query block and of a candidate block, bins of a round.
 QUERIES, CANDIDATES, BINS = 1024, 1024, 1024
+#: Scores beyond this count as this; twice of it still fits 64 bits.
+FURTHEST = (1 << 62) - 1
 
 
 def _matrix(blobs: pd.Series) -> np.ndarray:
@@ -25,15 +27,21 @@ def _matrix(blobs: pd.Series) -> np.ndarray:
 
 
 def _scores(queries: pd.DataFrame, candidates: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Scores of all pairs as whole numbers, and which pairs count."""
+    """Scores of all pairs as whole numbers, and which pairs count.
+
+    Rows whose scores may not be exact in double precision, or not fit 64 bits, are scored apart.
+    """
     a, b = _matrix(queries["vector"]), _matrix(candidates["vector"])
-    bound = np.abs(a).max() * np.abs(b).max() * a.shape[1]
-    if bound < 2.0**53:
-        scores = (a @ b.T).astype(np.int64)  # exact in double precision
-    elif bound < 2.0**63:
-        scores = a.astype(np.int64) @ b.astype(np.int64).T
-    else:
-        raise ValueError("scores do not fit 64 bits")
+    scores = np.zeros((len(a), len(b)), np.int64)
+    tops_a, tops_b = np.abs(a).max(axis=1), np.abs(b).max(axis=1)
+    with np.errstate(over="ignore"):
+        few = tops_b * np.median(tops_a) * a.shape[1] < 2.0**52
+        plain = tops_a * tops_b[few].max(initial=0.0) * a.shape[1] < 2.0**53
+    if plain.any() and few.any():
+        scores[np.ix_(plain, few)] = (a[plain] @ b[few].T).astype(np.int64)
+    for i, j in np.argwhere(~(plain[:, None] & few)).tolist():
+        total = sum(int(x) * int(y) for x, y in zip(a[i].tolist(), b[j].tolist(), strict=True))
+        scores[i, j] = max(-FURTHEST, min(FURTHEST, total))
     other = queries["query_id"].to_numpy()[:, None] != candidates["vec_id"].to_numpy()[None, :]
     return scores, other
 
@@ -64,13 +72,16 @@ def whole_numbers(vectors: DataFrame, scale: int) -> DataFrame:
 
     def work(frames):
         for frame in frames:
-            whole = [np.floor(scale * np.asarray(v, "<f8")) for v in frame["embedding"]]
+            with np.errstate(over="ignore"):
+                whole = [np.floor(scale * np.asarray(v, "<f8")) for v in frame["embedding"]]
+            most = np.finfo(float).max
+            whole = [np.clip(v, -most, most) for v in whole]
             yield pd.DataFrame(
                 {
                     "vec_id": frame["vec_id"],
                     "vector": [v.astype("<f8").tobytes() for v in whole],
                     "width": [len(v) for v in whole],
-                    "norm": [float(np.sqrt(v @ v)) for v in whole],
+                    "norm": [float(np.linalg.norm(v / (m := max(1.0, np.abs(v).max()))) * m) for v in whole],
                 }
             )
 
@@ -86,7 +97,8 @@ def top_k(
     query's own. A component x counts as floor(scale * x), the score is the inner product, ties go
     to the smaller id. Vectors that are null, empty, or hold null or non-finite components, and
     null ids, take no part; rows of one id are one vector (the smallest). Only vectors of one width
-    meet. A query with fewer than k candidates returns all.
+    meet. A query with fewer than k candidates returns all. Scores are exact up to 2^62 - 1 either way;
+    beyond, they count as that.
     """
     base = cut_lineage(whole_numbers(vectors, scale))
     asked = base.where(F.col("vec_id") % every == 0)
@@ -102,7 +114,8 @@ def top_k(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
     # no score is beyond the product of the lengths
-    reach = F.ceil(F.col("norm") * F.lit(sizes["norm"] or 0.0) * 1.000001 + 1).cast("long")
+    length = F.col("norm") * F.lit(sizes["norm"] or 0.0) * 1.000001 + 1
+    reach = F.when(length < float(1 << 61), F.ceil(length).cast("long")).otherwise(F.lit(FURTHEST))
     queries = cut_lineage(
         asked.select(
             F.col("vec_id").alias("query_id"), "vector", "width",
@@ -159,7 +172,9 @@ def top_k(
             .agg(F.max(F.struct("bin", (F.col("upto") - F.col("n")).alias("passed"))).alias("hit"))
             .select("query_id", F.col("hit.bin").alias("bin"), F.col("hit.passed").alias("passed"))
         )
-        width = F.greatest(F.lit(1), F.ceil((F.col("high") - F.col("low")) / BINS)).cast("long")
+        width = F.expr(
+            f"greatest(1L, (high - low) div {BINS} + CASE WHEN (high - low) % {BINS} > 0 THEN 1L ELSE 0L END)"
+        )
         low = F.col("low") + F.col("bin") * width
         queries = cut_lineage(
             queries.join(hit, "query_id", "left").select(

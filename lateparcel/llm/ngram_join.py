@@ -327,7 +327,7 @@ def _repeats(classes: DataFrame) -> bool:
 
 
 def one_of_each(docs: DataFrame, shape: Forest = Forest()) -> DataFrame:
-    """The documents that stand for their class, all columns kept, one row each.
+    """The documents that stand for their class, all columns kept, one row for each text of an id.
 
     Rows with a null id, and empty texts, stay.
     """
@@ -342,5 +342,5 @@ def one_of_each(docs: DataFrame, shape: Forest = Forest()) -> DataFrame:
     if not repeated:
         return rest
     again = small_side(again, repeated)
-    single = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    single = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return rest.join(again, "doc_id", "left_anti").unionByName(single).select(*docs.columns)

@@ -753,13 +753,18 @@ def _(t):
 _ONE_EACH = jobs.Options(n_iter=1, parallelism=4)
 
 
-@query("c7_master", """
-SELECT * FROM (VALUES ('Classification', TRUE), ('Regression', TRUE)) AS v("Pipeline", known)""")
+_FAMILIES = ", ".join(
+    f"('{pipeline}', '{name}')"
+    for pipeline, names in (("Classification", T.CLASSIFIERS), ("Regression", T.REGRESSORS))
+    for name in names
+)
+
+
+@query("c7_master", f"""SELECT * FROM (VALUES {_FAMILIES}) AS v("Pipeline", "Model")""")
 def _(t):
     registry = TableRegistry(t.spark, scratch_path(t.spark, "master"))
     frames = jobs.master(t.customers, t.orders, t.items, registry, _ONE_EACH)
-    families = [*T.CLASSIFIERS, *T.REGRESSORS]
-    return frames["summary_table"].select("Pipeline", F.col("Model").isin(families).alias("known"))
+    return frames["summary_table"].select("Pipeline", "Model")
 
 
 @query("c8_notebook_preparation", with_base("""

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateparcel.session import cut_lineage
+from lateparcel.llm.rows import written
 
 
 def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -70,7 +70,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     def undirected(left: str, right: str) -> list:
         return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
-    links = cut_lineage(
+    links = written(
         edges.where("a is not null and b is not null and a <> b")
         .select(*undirected("a", "b"))
         .distinct()
@@ -78,12 +78,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels, rounds = None, 0
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooked = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")))
+        hooked = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")))
         # what a hooked vertex is hooked onto is hooked itself, if only onto itself
         twice = hooked.join(
             hooked.select(F.col("a").alias("up"), F.col("up").alias("top")), "up"
         ).select("a", F.col("top").alias("up"))
-        parent = cut_lineage(
+        parent = written(
             twice.join(twice.select(F.col("a").alias("up"), F.col("up").alias("top")), "up")
             .select("a", F.col("top").alias("up"))
         )
@@ -96,14 +96,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
             )
         rounds += 1
         if rounds % 3 == 0:
-            labels = cut_lineage(labels)
+            labels = written(labels)
         left = parent.select("a", F.col("up").alias("x"))
         right = parent.select(F.col("a").alias("b"), F.col("up").alias("y"))
         moved = links.join(left, "a").join(right, "b").select(*undirected("x", "y"))
         chains = parent.select(F.col("up").alias("b"), F.col("up").alias("x")).distinct().join(
             right, "b"
         )
-        links = cut_lineage(
+        links = written(
             moved.unionByName(chains.select(*undirected("x", "y"))).where("a <> b").distinct()
         )
         if links.isEmpty():

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateparcel.session import scratch_path
+
 # Rows of one Arrow batch: whole texts are long, so batches are small.
 BATCH_ROWS = 512
 
@@ -56,6 +58,17 @@ def annotate(
     return frame.withColumn(column, call(*inputs)), column
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """``frame`` as a table in the shared folder, read again: cuts lineage, survives lost executors.
+
+    Its size is then that of the files. A checkpoint keeps the estimate of the plan before it, a product over
+    all joins, which a loop makes too large a number to reckon with.
+    """
+    path = scratch_path(frame.sparkSession, "table")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

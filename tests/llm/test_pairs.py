@@ -145,12 +145,40 @@ def test_hot_groups_are_cut_into_blocks(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(classes.values()))
 
 
-def test_prefix_gets_shorter_when_links_are_missing():
-    shape = ngram_join.Forest(trees=4)
-    near = [(80, 100)]
-    assert ngram_join.estimated_recall(near, shape, 8) < ngram_join.estimated_recall(near, shape, 2)
-    assert ngram_join.estimated_recall([], shape, 8) == 1.0
-    assert ngram_join.estimated_recall([(100, 5)], shape, 8) == pytest.approx(1.0)
+def test_prefix_gets_shorter_when_borderline_links_are_found(spark, monkeypatch):
+    """Close copies alone stop at whole labels, borderline links ask for shorter prefixes."""
+    shape = ngram_join.Forest()
+    assert ngram_join.rate_reached([], shape, 8) and ngram_join.rate_reached([100, 95], shape, 8)
+    assert not ngram_join.rate_reached([100, 80], shape, 8) and ngram_join.rate_reached([80], shape, 6)
+    rounds = []
+    real = ngram_join._grown
+    monkeypatch.setattr(ngram_join, "_grown", lambda *a: rounds.append(1) or real(*a))
+    words = [f"w{i}" for i in range(400)]
+    close = [" ".join([*words, f"end{i}"]) for i in range(4)]
+    ngram_join.join(documents(spark, close), shape).count()
+    assert len(rounds) == 1
+    rounds.clear()
+    texts = [*close, " ".join(words[:100]), " ".join(words[:81])]
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.join(documents(spark, texts), shape).collect()}
+    assert len(rounds) == 3 and got == {0: 3, 1: 3, 2: 3, 3: 3, 4: 1, 5: 1}
+
+
+def test_trie_edges_connect_the_members_of_each_node(spark):
+    """Against all pairs, with labels of few values, over many small ranges."""
+    rng = np.random.default_rng(2)
+    shape = ngram_join.Forest(trees=3, depth=4)
+    labels = rng.integers(0, 3, (200, 3, 4)).astype("<u2")
+    rows = [(i, bytearray(x.tobytes())) for i, x in enumerate(labels)]
+    frame = spark.createDataFrame(rows, "id long, labels binary").repartition(8)
+    edges = [tuple(r) for r in ngram_join.trie_edges(frame, shape, 2).collect()]
+    for depth in (4, 3, 2):
+        want = [
+            (i, j)
+            for i, j in itertools.combinations(range(200), 2)
+            if (labels[i, :, :depth] == labels[j, :, :depth]).all(axis=1).any()
+        ]
+        assert components(range(200), [(a, b) for a, b, d in edges if d >= depth]) == components(range(200), want)
+    assert len(edges) <= 3 * 200
 
 
 def test_few_trees_still_reach_the_recall(spark):
@@ -177,6 +205,18 @@ def test_repeated_and_null_ids(spark):
     assert ngram_join.join(frame.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_compared_each(spark):
+    """An id with two texts: each links with its own copies, and only copies go."""
+    one, two = "a b c d e f g h", "quite another text that is here now"
+    rows = [(1, one), (1, two), (2, one), (3, two), (3, "Quite another, text that is here now"), (1, one)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(tuple(r) for r in ngram_join.join(frame).select("doc_id", "n_links", "class_id").collect())
+    assert out == [(1, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (3, 2, 1)]
+    left = ngram_join.one_of_each(frame)
+    assert left.columns == frame.columns
+    assert sorted(map(tuple, left.collect())) == [(1, one), (1, two)]
+
+
 # --- vectors
 
 

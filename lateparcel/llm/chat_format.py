@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lateparcel.llm.rows import free_name
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -36,11 +38,19 @@ class Layout:
     def fingerprint(self) -> str:
         return fingerprint(self.paths)
 
+    @property
+    def needed(self) -> tuple[str, ...]:
+        """The paths that a record of this layout cannot do without."""
+        return tuple(p for p in self.paths if p not in OPTIONAL)
+
 
 def fingerprint(paths: tuple[str, ...]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
 
 
+#: Fields that records of a layout may leave out.
+OPTIONAL = ("input", "context", "system")
+
 #: The layouts in common use, by their field paths.
 LAYOUTS = (
     Layout("turn rows", ("turn", "role", "text"), rows=("turn", "role", "text")),
@@ -178,30 +188,56 @@ def _exploded(frame: DataFrame) -> DataFrame:
     )
 
 
-def json_fingerprint(record: Column) -> Column:
-    """Fingerprint of a JSON record: its named top-level fields and those of array members."""
+def json_paths(record: Column) -> Column:
+    """Sorted paths of a JSON record that some layout names: top-level fields and those of array members."""
     named = sorted({p for layout in LAYOUTS for p in layout.paths})
-    tops = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
     arrays = sorted({p.split("[].")[0] for p in named if "[]." in p})
+    none = F.array().cast("array<string>")
 
     def below(name: str) -> Column:
-        keys = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
-        keys = F.coalesce(keys, F.array().cast("array<string>"))
+        first = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
+        members = F.from_json(F.get_json_object(record, f"$.{name}"), "array<map<string,string>>")
+        keys = F.flatten(F.transform(F.filter(members, lambda m: m.isNotNull()), F.map_keys))
+        keys = F.array_union(F.coalesce(first, none), F.coalesce(keys, none))
         return F.transform(keys, lambda key: F.concat(F.lit(f"{name}[]."), key))
 
+    tops = F.coalesce(F.json_object_keys(record), none)
     nested = [below(name) for name in arrays]
     found = F.array_intersect(F.concat(tops, *nested), F.array(*[F.lit(p) for p in named]))
-    return F.sha2(F.array_join(F.array_sort(found), "\n"), 256)
+    return F.array_sort(found)
+
+
+def json_fingerprint(record: Column) -> Column:
+    """Fingerprint of a JSON record: its ``json_paths``."""
+    return F.sha2(F.array_join(json_paths(record), "\n"), 256)
+
+
+def json_layout(record: Column) -> Column:
+    """Name of the layout of a JSON record; null if none fits.
+
+    The layout with its fingerprint; else the first one all of whose needed fields are there.
+    """
+    layouts = [layout for layout in LAYOUTS if not layout.rows]
+    paths, print_ = json_paths(record), json_fingerprint(record)
+    exact = F.coalesce(*[F.when(print_ == x.fingerprint, x.name) for x in layouts])
+    complete = F.coalesce(
+        *[
+            F.when(F.size(F.array_except(F.array(*map(F.lit, x.needed)), paths)) == 0, x.name)
+            for x in layouts
+        ]
+    )
+    return F.coalesce(exact, complete)
 
 
 def from_json(records: DataFrame, record: str = "record", key: str = "conv_id") -> DataFrame:
     """Canonical turns of JSON records, each in a layout of its own.
 
-    Returns (conv_id, turn, role, text). Records of unknown fingerprint, and null ones, give no
-    turns; ``unknown_json`` lists them.
+    Returns (conv_id, turn, role, text). Records of several layouts are read by the first complete
+    one (``json_layout``). Records of none, and null ones, give no turns; ``unknown_json`` lists them.
     """
+    taken = free_name(records, "llm_layout")
+    records = records.withColumn(taken, json_layout(F.col(record)))
     one = F.col(record)
-    print_ = json_fingerprint(one)
     choice = F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in LAYOUTS:
         if layout.rows:
@@ -217,15 +253,13 @@ def from_json(records: DataFrame, record: str = "record", key: str = "conv_id")
             )
 
         every = _turns_array(layout, lambda n: F.get_json_object(one, f"$.{n}"), items)
-        choice = F.when(print_ == layout.fingerprint, every).otherwise(choice)
+        choice = F.when(F.col(taken) == layout.name, every).otherwise(choice)
     return _exploded(records.select(F.col(key).alias("conv_id"), choice.alias("turns")))
 
 
 def unknown_json(records: DataFrame, record: str = "record") -> DataFrame:
-    """The records whose fingerprint no layout has."""
-    known = [layout.fingerprint for layout in LAYOUTS if not layout.rows]
-    print_ = F.coalesce(json_fingerprint(F.col(record)), F.lit(""))
-    return records.where(~print_.isin(known))
+    """The records that no layout fits."""
+    return records.where(json_layout(F.col(record)).isNull())
 
 
 def escape_pattern(template: Template) -> str:

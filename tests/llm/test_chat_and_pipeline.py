@@ -73,6 +73,27 @@ def test_json_records_of_many_layouts(spark):
     assert {r["conv_id"] for r in chat_format.unknown_json(frame).collect()} == {7, 98, 99}
 
 
+def test_json_of_mixed_and_partial_layouts(spark):
+    """The first complete layout is taken; optional fields may be missing."""
+    turns = [("user", "q"), ("assistant", "a")]
+    said = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    cases = [
+        ({"messages": said, "prompt": "x"}, turns),
+        ({"instruction": "q", "output": "a"}, turns),
+        ({"instruction": "q", "response": "a"}, turns),
+        ({"prompt": "q", "response": "a"}, turns),
+        ({"messages": [{"role": "user"}, *said]}, [("user", ""), *turns]),
+        ({"instruction": "q"}, []),
+    ]
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(cases)]
+    frame = spark.createDataFrame(rows, "conv_id long, record string")
+    got = {}
+    for r in chat_format.from_json(frame).orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    assert got == {i: turns for i, (_, turns) in enumerate(cases) if turns}
+    assert [r["conv_id"] for r in chat_format.unknown_json(frame).collect()] == [5]
+
+
 @pytest.mark.parametrize("i", range(7))
 def test_tables_of_many_layouts(spark, i):
     record, turns = LAYOUT_ROWS[i]

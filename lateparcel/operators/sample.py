@@ -18,18 +18,27 @@ from pyspark.sql.window import Window
 
 from lateparcel.functions import hash_below_fraction, portable_hash
 from lateparcel.operators.checks import local_table, settle_small
+from lateparcel.operators.many_classes import (
+    EVERYTHING,
+    QUOTAS,
+    ROWS,
+    class_sizes,
+    limit_hashes,
+    share,
+    written,
+)
 
 HASH, STRATUM, PART = "__hash", "__stratum", "__part"
 # Hex digits of the bucket: 4096 buckets keep the histogram small next to any big table.
 BUCKET_DIGITS = 3
 MOST_DIGITS = 10
-# Most (class, bucket) counts that may visit the driver; beyond, 16 buckets per class are used.
+# Most (class, bucket) counts that may visit the driver; beyond, 16 buckets per class are used, and
+# where these are too many as well, counts and quotas stay in DataFrames.
 MOST_BUCKETS = 1_000_000
 # A bucket with more rows than this is cut again before its rows are ordered.
 BUCKET_ROWS = 2_000_000
 # Copies of a row unfold in pieces of this many.
 COPIES_AT_ONCE = 10_000
-EVERYTHING = "g"  # sorts after every hex digit
 
 
 def _hashed(frame: DataFrame, keys: Sequence[str], seed: int, stratum: str | None) -> DataFrame:
@@ -184,13 +193,14 @@ def cut_by_hash(
     seed: int = 42,
     only_if_usable: bool = True,
     bucket_rows: int = BUCKET_ROWS,
+    wide_quotas: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``__part``: 0 for rows up to the first quota of their class, 1 up to the second, …
 
-    ``quotas`` turns class sizes into ascending row counts per class.  Class sizes and limits
-    are small tables; a label with too many values for them is refused, since a stratified
-    split of so many classes is a mistake in the choice of the label.  Classes too
-    small to stratify are ignored when ``only_if_usable`` is set.
+    ``quotas`` turns class sizes into ascending row counts per class.  ``wide_quotas`` does the
+    same for more classes than may visit the driver: from a frame of class sizes and the sum of
+    rows to that frame with an array of quotas.  Classes too small to stratify are ignored when
+    ``only_if_usable`` is set.
     """
     hashed = _hashed(frame, keys, seed, stratum)
     digits = BUCKET_DIGITS
@@ -199,7 +209,16 @@ def cut_by_hash(
         digits = 1
         buckets = _bucket_counts(hashed, digits)
     if buckets is None:
-        raise ValueError(f"{stratum} has too many distinct values to be a class label")
+        if wide_quotas is None:
+            raise ValueError(f"{stratum} has too many distinct values for quotas of the driver")
+        classes = class_sizes(hashed)
+        smallest, rows = classes.agg(F.min(ROWS), F.sum(ROWS)).head()
+        if only_if_usable and smallest < 2:
+            return cut_by_hash(frame, keys, quotas, None, seed, bucket_rows=bucket_rows)
+        limits = limit_hashes(
+            hashed, wide_quotas(classes, rows), BUCKET_DIGITS, MOST_DIGITS, bucket_rows
+        )
+        return _assign_from(frame, keys, seed, stratum, written(limits))
     counts = {label: sum(n for _, n in parts) for label, parts in buckets.items()}
     if stratum is not None and only_if_usable and not _stratify(counts):
         return cut_by_hash(frame, keys, quotas, None, seed, bucket_rows=bucket_rows)
@@ -232,6 +251,13 @@ def _assign(frame, keys, seed, stratum, limits):
         {STRATUM: list(limits), "__limits": list(limits.values())},
         f"{STRATUM} string, __limits array<string>",
     )
+    return _assign_from(frame, keys, seed, stratum, table)
+
+
+def _assign_from(frame, keys, seed, stratum, table):
+    """The same by a join with the table of (class, limits)."""
+    label = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
+    hashed = portable_hash(keys, seed)
     joined = frame.withColumn(STRATUM, label).withColumn(HASH, hashed).join(table, STRATUM, "left")
     below = F.filter("__limits", lambda cut: cut < F.col(HASH))
     return joined.withColumn(PART, F.size(below)).drop(STRATUM, HASH, "__limits")
@@ -261,7 +287,12 @@ def stratified_cap(
             return {c: [n] for c, n in counts.items()}
         return {c: [q] for c, q in allocate(counts, rows).items()}
 
-    marked = cut_by_hash(frame, keys, quotas, label, seed)
+    def wide(classes, total):
+        if total <= rows:
+            return classes.withColumn(QUOTAS, F.array(ROWS))
+        return share(classes, ROWS, rows, "__q").withColumn(QUOTAS, F.array("__q"))
+
+    marked = cut_by_hash(frame, keys, quotas, label, seed, wide_quotas=wide)
     return marked.where(F.col(PART) == 0).drop(PART)
 
 
@@ -288,7 +319,11 @@ def train_test_split(
         test = math.ceil(sum(counts.values()) * test_size)
         return {c: [q] for c, q in allocate(counts, test).items()}
 
-    marked = cut_by_hash(frame, keys, quotas, label, seed)
+    def wide(classes, total):
+        test = math.ceil(total * test_size)
+        return share(classes, ROWS, test, "__q").withColumn(QUOTAS, F.array("__q"))
+
+    marked = cut_by_hash(frame, keys, quotas, label, seed, wide_quotas=wide)
     return _named(marked, ["test", "train"], column)
 
 
@@ -311,7 +346,14 @@ def three_way_split(
         second = allocate(rest, validation)
         return {c: [first[c], first[c] + second[c]] for c in counts}
 
-    marked = cut_by_hash(frame, keys, quotas, label, seed)
+    def wide(classes, total):
+        test = math.ceil(total * test_size)
+        validation = math.ceil((total - test) * validation_size)
+        first = share(classes, ROWS, test, "__q").withColumn("__left", F.col(ROWS) - F.col("__q"))
+        second = share(first, "__left", validation, "__r")
+        return second.withColumn(QUOTAS, F.array(F.col("__q"), F.col("__q") + F.col("__r")))
+
+    marked = cut_by_hash(frame, keys, quotas, label, seed, wide_quotas=wide)
     return _named(marked, ["test", "validation", "train"], column)
 
 
@@ -331,7 +373,17 @@ def assign_folds(
             cuts[name] = [sum(sizes[: f + 1]) for f in range(folds - 1)]
         return cuts
 
-    marked = cut_by_hash(frame, keys, quotas, label, seed, only_if_usable=False)
+    def wide(classes, total):
+        # the first f + 1 folds hold that many n-ths and at most one more row each
+        ends = [
+            F.floor(F.col(ROWS) / folds) * (f + 1) + F.least(F.lit(f + 1), F.col(ROWS) % folds)
+            for f in range(folds - 1)
+        ]
+        return classes.withColumn(QUOTAS, F.array(*ends).cast("array<bigint>"))
+
+    marked = cut_by_hash(
+        frame, keys, quotas, label, seed, only_if_usable=False, wide_quotas=wide
+    )
     return marked.withColumnRenamed(PART, column)
 
 
@@ -348,22 +400,30 @@ def oversample(
     to make up the difference.  Nothing happens when the smallest class is at least
     ``threshold`` of the largest.  ``copy`` numbers the copies of a row from 1.
     """
-    sizes: dict[str, int] = {}
+    smallest = largest = 0
+    repeats = None
 
     def quotas(counts):
-        sizes.update(counts)
-        largest = max(counts.values())
+        nonlocal smallest, largest, repeats
+        smallest, largest = min(counts.values()), max(counts.values())
+        repeats = local_table(
+            frame.sparkSession,
+            {STRATUM: list(counts), "__each": [largest // n for n in counts.values()]},
+            f"{STRATUM} string, __each bigint",
+        )
         return {c: [largest % n] for c, n in counts.items()}
 
-    marked = cut_by_hash(frame, keys, quotas, label, seed, only_if_usable=False)
-    if not sizes or min(sizes.values()) / max(sizes.values()) >= threshold:
-        return marked.drop(PART).withColumn("copy", F.lit(1))
-    largest = max(sizes.values())
-    repeats = local_table(
-        frame.sparkSession,
-        {STRATUM: list(sizes), "__each": [largest // n for n in sizes.values()]},
-        f"{STRATUM} string, __each bigint",
+    def wide(classes, total):
+        nonlocal smallest, largest, repeats
+        smallest, largest = classes.agg(F.min(ROWS), F.max(ROWS)).head()
+        repeats = classes.select(STRATUM, F.expr(f"{largest}L div {ROWS}").alias("__each"))
+        return classes.withColumn(QUOTAS, F.array(F.lit(largest).cast("bigint") % F.col(ROWS)))
+
+    marked = cut_by_hash(
+        frame, keys, quotas, label, seed, only_if_usable=False, wide_quotas=wide
     )
+    if not largest or smallest / largest >= threshold:
+        return marked.drop(PART).withColumn("copy", F.lit(1))
     name = F.coalesce(F.col(label).cast("string"), F.lit(""))
     marked = marked.withColumn(STRATUM, name).join(repeats, STRATUM).drop(STRATUM)
     times = F.col("__each") + F.when(F.col(PART) == 0, F.lit(1)).otherwise(F.lit(0))
@@ -372,7 +432,7 @@ def oversample(
     pieces = marked.withColumn("__times", times).withColumn(
         "__piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("__times") - 1) / piece)))
     )
-    if largest // min(sizes.values()) >= COPIES_AT_ONCE:
+    if largest // smallest >= COPIES_AT_ONCE:
         # few rows with very many copies: spread the pieces over the tasks first
         pieces = pieces.repartition(*keys, "__piece")
     first = F.col("__piece") * piece + 1
@@ -389,14 +449,14 @@ def shuffle_order(frame: DataFrame, keys: Sequence[str], seed: int = 42) -> Data
 
 
 def balanced_weights(frame: DataFrame, label: str, column: str = "weight") -> DataFrame:
-    """Weight n / (classes * rows of the class) per row."""
+    """Weight n / (classes * rows of the class) per row; rows without a label are a class too."""
     counts = settle_small(frame.groupBy(label).agg(F.count("*").alias("__n")))
     totals = counts.agg(F.sum("__n").alias("rows"), F.count("*").alias("classes"))
     weights = counts.select(
-        label,
+        F.col(label).alias(STRATUM),
         (
             totals.select("rows").scalar()
             / (totals.select("classes").scalar() * F.col("__n"))
         ).alias(column),
     )
-    return frame.join(weights, label)
+    return frame.join(weights, F.col(label).eqNullSafe(F.col(STRATUM))).drop(STRATUM)

@@ -39,6 +39,13 @@ def _vector(size: int, indices: Column, values: Column) -> Column:
     return F.from_json(F.to_json(entry), schema)["vector"]
 
 
+def entries_of(vector: str) -> Column:
+    """A sparse vector column as a struct of size, indices and values."""
+    parts = "size int, indices array<int>, values array<double>"
+    text = F.to_json(F.struct(F.col(vector).alias("vector")))
+    return F.from_json(text, f"vector struct<{parts}>")["vector"]
+
+
 @dataclass(frozen=True)
 class SparseEncoder:
     """Numeric columns first (scaled, null is the mean), then an entry for every known category.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lateparcel.operators import encode, sample
+from lateparcel.operators import encode, sample, sparse
 from lateparcel.operators.join import add_loyalty_target, at_item_grain
 from lateparcel.plans.registry import query, rounded, with_base
 
@@ -228,6 +228,32 @@ def _(t):
     )
 
 
+_CODED = """
+coded AS (
+  SELECT order_id, product_id, seller_id, price,
+         dense_rank() OVER (ORDER BY CAST(product_id AS VARCHAR)) - 1 AS product,
+         dense_rank() OVER (ORDER BY CAST(seller_id AS VARCHAR)) - 1 AS seller,
+         (SELECT count(DISTINCT product_id) FROM raw_items) AS products,
+         (SELECT count(DISTINCT seller_id) FROM raw_items) AS sellers
+  FROM raw_items)"""
+
+
+@query("t7_sparse_preprocessor", with_base("""
+SELECT order_id, product_id, seller_id, CAST(1 + products + sellers AS INTEGER) AS entries,
+       round((price - avg(price) OVER ()) / stddev_pop(price) OVER (), 5) AS scaled,
+       concat_ws(',', 0, 1 + product, 1 + products + seller) AS places
+FROM coded""", _CODED))
+def _(t):
+    fitted = sparse.SparseEncoder.fit(t.items, ["price"], ["product_id", "seller_id"])
+    names = ["order_id", "product_id", "seller_id"]
+    rows = fitted.transform(t.items, names).withColumn("v", sparse.entries_of("features"))
+    return rows.select(
+        *names, F.col("v.size").alias("entries"),
+        F.round(F.col("v.values")[0], 5).alias("scaled"),
+        F.concat_ws(",", F.col("v.indices").cast("array<string>")).alias("places"),
+    )
+
+
 @query("t8_feature_matrix", with_base("""
 SELECT coalesce(delivery_delay, 0) AS delivery_delay, coalesce(delivery_time, 0) AS delivery_time,
        order_year, order_month, CAST(order_status = 'delivered' AS INTEGER) AS arrived

@@ -20,11 +20,7 @@ EVERYTHING = "g"  # sorts after every hex digit
 
 
 def written(frame: DataFrame) -> DataFrame:
-    """The frame as a table in the shared folder, read back.
-
-    A checkpoint would carry the size estimates and constraints of its plan into every later join,
-    which then took minutes to plan.
-    """
+    """The frame as a table in the shared folder, read back; computed once, for several readers."""
     spark = frame.sparkSession
     path = scratch_path(spark, "classes")
     frame.write.parquet(path)

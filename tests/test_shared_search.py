@@ -257,3 +257,21 @@ def test_multi_class_area_weights_the_classes(spark):
     rows = [(0.0, [0.7, 0.2, 0.1]), (1.0, [0.1, 0.8, 0.1]), (2.0, [0.3, 0.3, 0.4]), (1.0, [0.5, 0.4, 0.1])]
     scored = spark.createDataFrame([("m", *r) for r in rows], "model string, label double, scores array<double>")
     assert metrics.roc_auc_ovr(scored).head()["roc_auc"] == pytest.approx(1.0)
+
+
+def test_rows_with_the_same_codes_are_one_cell(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 3, (900, 2)).astype(float)
+    x = np.column_stack([x, np.ones(900)])
+    y = (x[:, 0] + rng.normal(size=900) > 1).astype(float)
+    frame = framed(spark, x, y)
+    binning = boosting.Binning.fit(frame, 8)
+    cells = boosting.cells_of(frame, binning, False)
+    assert cells.agg(F.sum("rows")).head()[0] == 9  # not one for each row
+    assert boosting.class_sums(cells, [WHOLE], 0, boosting.read_coded)[WHOLE] == pytest.approx([900, y.sum()])
+    cells.unpersist()
+    # copies of every row leave a model of rows as it was
+    many = framed(spark, np.tile(x, (4, 1)), np.tile(y, 4))
+    for classes in (2, 0):
+        (one,), (four,) = (boosting.boost(f, [Run(WHOLE, 0.2, 2, 6)], classes) for f in (frame, many))
+        assert one.scores(x) == pytest.approx(four.scores(x), abs=1e-9)

@@ -15,7 +15,7 @@ from lateparcel.operators.encode import Scaler
 from lateparcel.operators.rank import WINDOW_DISTINCT, running_counts
 from lateparcel.session import cut_lineage
 
-COMBO, HOT = "__combo", "__hot"
+HOT, VALUE = "__hot", "__value"
 # Entries of a sparse vector are numbered by int.
 MOST_ENTRIES = 2**31 - 1
 
@@ -118,28 +118,22 @@ class SparseEncoder:
     ) -> DataFrame:
         """The columns to keep and the vector.
 
-        Cells are looked up once for each distinct combination of categorical values: its
-        entries are put together by an aggregate of at most one entry a column, and rows join
-        their combination.  No key is needed, so repeated rows stay; a combination that owns most
-        rows is one row of the looked-up side.
+        Every categorical column joins its own codes: rows shuffle at most once a column, where its
+        codes are too many to be broadcast, and a join splits the rows of a frequent value.
         """
-        combination = _combination(self.categorical)
-        cells = (
-            frame.select(combination.alias(COMBO))
-            .distinct()
-            .select(COMBO, F.posexplode(COMBO).alias("at", "value"))
-        )
-        hot = (
-            cells.join(self.codes, ["at", "value"])
-            .groupBy(COMBO)
-            .agg(F.sort_array(F.collect_list("index")).alias(HOT))
-        )
+        places = [f"{HOT}{at}" for at in range(len(self.categorical))]
+        rows = frame
+        for at, name in enumerate(self.categorical):
+            own = self.codes.where(F.col("at") == at).select(
+                F.col("value").alias(VALUE), F.col("index").alias(places[at])
+            )
+            rows = rows.join(own, F.col(f"`{name}`").cast("string") == F.col(VALUE), "left").drop(VALUE)
         numbers = F.array(
             *[F.coalesce(self.scaler.scaled(n), F.lit(0.0)) for n in self.numeric]
         ).cast("array<double>")
-        entries = F.coalesce(F.col(HOT), F.array().cast("array<int>"))
+        # entries of the columns follow each other, so they are in order
+        entries = F.array_compact(F.array(*[F.col(p) for p in places]).cast("array<int>"))
         heads = F.array(*[F.lit(i) for i in range(len(self.numeric))]).cast("array<int>")
-        rows = frame.withColumn(COMBO, combination).join(hot, COMBO, "left")
         return rows.select(
             *keep,
             _vector(

@@ -65,3 +65,17 @@ def test_many_categories_stay_a_table(spark):
     assert row["features"].size == 20_007
     assert np.array_equal(row["features"].indices, [at, 20_000 + 20_003 % 7])
     assert large.transform(frame).count() == 60_000
+
+
+def test_rows_join_the_codes_of_a_column_once(spark):
+    rows = [(i, str(i % 7), None if i % 5 == 0 else str(i % 3), float(i)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id int, a string, b string, x double")
+    fitted = SparseEncoder.fit(frame, ["x"], ["a", "b"])
+    found = fitted.transform(frame, ["id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # the rows are not grouped by their combination of values
+    assert plan.count("Join LeftOuter") == 2 and "Aggregate" not in plan
+    for row in found.collect():
+        i = row["id"]
+        want = [0, 1 + i % 7] + ([8 + i % 3] if i % 5 else [])
+        assert row["features"].indices.tolist() == want

@@ -275,3 +275,27 @@ def test_rows_with_the_same_codes_are_one_cell(spark):
     for classes in (2, 0):
         (one,), (four,) = (boosting.boost(f, [Run(WHOLE, 0.2, 2, 6)], classes) for f in (frame, many))
         assert one.scores(x) == pytest.approx(four.scores(x), abs=1e-9)
+
+
+def test_equal_rows_are_one_row_of_the_blocks(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y = (x[:, 0] + x[:, 1] ** 2 > 1).astype(int)
+    fold = rng.integers(0, 3, 300)
+    one = blocks_of(framed(spark, x, y, fold))
+    four = blocks_of(framed(spark, *(np.concatenate([a] * 4) for a in (x, y, fold))))
+    # four times the rows are the same blocks
+    assert four.agg(F.sum("rows")).head()[0] == one.agg(F.sum("rows")).head()[0] <= 300
+    whole = lockstep.gram_of_folds(four)
+    for f, gram in lockstep.gram_of_folds(one).items():
+        assert whole[f] == pytest.approx(4 * gram)
+    plan = extra_trees.Plan(2, 2, depth=5)
+    grown = [extra_trees.grow(b, [WHOLE], 2, plan, local_rows=n)[WHOLE] for b in (one, four) for n in (50, 10_000)]
+    for forest in grown[1:]:
+        assert forest.predictions(x)[1] == pytest.approx(grown[0].predictions(x)[1], abs=1e-9)
+    # four times the cost or four times the rows
+    dear = lockstep.odds_paths(one, [{"C": 4.0}], [WHOLE], False)[0, WHOLE]
+    many = lockstep.odds_paths(four, [{"C": 1.0}], [WHOLE], False)[0, WHOLE]
+    assert many.weights == pytest.approx(dear.weights, rel=1e-4)
+    for b in (one, four):
+        b.unpersist()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lateparcel.operators import profile, relate
-from lateparcel.operators.quantile import exact_quantiles
+from lateparcel.operators.quantile import exact_quantiles, sketched
 from lateparcel.operators.rank import average_ranks
 
 
@@ -205,3 +205,21 @@ def test_value_shares(spark):
         ("a", 0.667), ("b", 0.333),
     ]
     assert rows.where(F.col("s").isNull()).count() == 1
+
+
+def test_sketches_that_one_task_merges_are_small(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = spark.range(0, 400_000, 1, 8).select(F.rand(3).alias("x"))
+        found = sketched(frame, ["x"], [0.98, 0.99])
+        low, high = found.head()["q0"]
+        assert low == pytest.approx(0.98, abs=0.01) and high == pytest.approx(0.99, abs=0.01)
+        node = found._jdf.queryExecution().executedPlan()
+        found.collect()
+        while "Exchange" not in node.nodeName():
+            node = node.children().apply(0)
+        # eight sketches of 50,000 rows, about 11,000 entries each
+        assert node.metrics().apply("dataSize").value() < 8 * 24 * 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

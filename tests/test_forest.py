@@ -109,3 +109,18 @@ def test_a_search_fits_one_forest_for_all_depths(spark, monkeypatch):
     # one for each fold and the refit, not one more for each depth
     assert [p["max_depth"] for p in asked[:2]] == [None, None] and len(asked) == 3 and found.tried == 4
     frame.unpersist()
+
+
+def test_trees_travel_once_to_many_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 9, (600, 3)).astype(float)
+    rows = pd.DataFrame({"entries": list(x), "label": x @ [1.0, 2.0, -1.0]})
+    train = spark.createDataFrame(rows).select(array_to_vector("entries").alias("features"), "label")
+    model = T.fit_forest_regressor(train, {"n_estimators": 10, "max_depth": 6})
+    whole = [r[0] for r in model.transform(train).orderBy("label", "features").select("prediction").collect()]
+    monkeypatch.setattr(forest, "CHUNK_CELLS", 40)
+    many = [r[0] for r in model.transform(train).orderBy("label", "features").select("prediction").collect()]
+    assert many == pytest.approx(whole, abs=1e-9)
+    chunks = spark.range(7).selectExpr("id AS block", "binary('c') AS x")
+    dealt = model._dealt(chunks).toPandas()
+    assert (dealt["block"] < 0).sum() == 10 and (dealt["block"] >= 0).sum() == 7 * 3

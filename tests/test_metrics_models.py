@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lateparcel.operators import encode, metrics, report, sample, select
 from lateparcel.operators import train as T
+from lateparcel.plans import jobs
 from lateparcel.operators.stumps import AdaBoost
 from lateparcel.operators.neighbours import NearestNeighbours
 
@@ -161,6 +162,28 @@ def test_logistic_is_optimal_for_its_penalty(spark):
     assert abs((p - y).sum()) < 1e-3
 
 
+def test_logistic_takes_few_jobs_and_heeds_weights(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 12)) * np.logspace(0, 2, 12)
+    y = (x @ (1 / np.logspace(0, 2, 12)) + rng.normal(size=400) > 1).astype(int)
+    weight = np.where(y == 1, 3.0, 0.5)
+    frame = encoded(spark, x, y).withColumn("weight", F.when(F.col("label") == 1, 3.0).otherwise(0.5)).persist()
+    frame.count()
+    spark.sparkContext.setJobGroup("logistic", "jobs of one fit")
+    model = T.fit_logistic(frame, {"C": 2.0})
+    spark.sparkContext.setJobGroup("others", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("logistic")) < 15
+    w, b = model.coefficients.toArray(), model.intercept
+    slope = weight * (1 / (1 + np.exp(-(x @ w + b))) - y)
+    assert np.abs(w + 2.0 * x.T @ slope).max() < 1e-3 and abs(slope.sum()) < 1e-3
+    frame.unpersist()
+
+
+def test_logistic_of_one_class(spark):
+    model = T.fit_logistic(encoded(spark, np.array([[1.0], [2.0]]), np.array([0, 0])), {"C": 1.0})
+    assert accuracy(model, encoded(spark, np.array([[3.0]]), np.array([0]))) == 1.0
+
+
 def accuracy(model, frame):
     scored = T.predict(model, frame)
     return scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).head()[0]
@@ -312,3 +335,24 @@ def test_permutation_importance_finds_the_features_that_matter(spark):
     ).collect()
     assert got[0]["feature"] == "b" and got[0]["importance_mean"] > 1.5
     assert all(abs(r["importance_mean"]) < 0.01 for r in got[1:])
+
+
+def test_tasks_of_the_weekly_job_make_its_tables(spark):
+    delays = spark.range(400).selectExpr(
+        "id AS order_id", "id % 37 AS delivery_time", "double(id % 11) AS customer_zip_code_prefix",
+        "int(id % 12) + 1 AS order_month", "2020 + int(id % 3) AS order_year", "concat('s', id % 2) AS customer_state",
+        "id % 37 - 20 + id % 5 AS delivery_delay", "int(id % 37 + id % 5 > 20) AS target",
+    )
+    options = jobs.Options(
+        delivery_regressors={"LinearRegression": T.DELIVERY_REGRESSORS["LinearRegression"]},
+        delivery_classifiers={"LogisticRegression": T.DELIVERY_CLASSIFIERS["LogisticRegression"]},
+    )
+    whole, models = jobs.weekly_training(delays, options)
+    parts = [jobs.weekly_training(delays, options, tasks=(t,)) for t in ("regression", "classification")]
+    assert set(models) == set(parts[0][1]) | set(parts[1][1]) and not set(parts[0][1]) & set(parts[1][1])
+    for found, _ in parts:
+        for name, table in found.items():
+            assert [list(r) for r in table.collect()] == [
+                [v if isinstance(v, str) else pytest.approx(v, abs=1e-9) for v in r] for r in whole[name].collect()
+            ]
+    assert set(whole) == set(parts[0][0]) | set(parts[1][0])

@@ -299,3 +299,28 @@ def test_equal_rows_are_one_row_of_the_blocks(spark):
     assert many.weights == pytest.approx(dear.weights, rel=1e-4)
     for b in (one, four):
         b.unpersist()
+
+
+def test_landmarks_are_as_many_as_the_kernel_needs(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 4))
+    y = (x[:, 0] * x[:, 1] > 0).astype(int)
+    blocks = blocks_of(framed(spark, x, y))
+    kernel = lockstep.fit_kernel(blocks, 0.5)
+    assert len(kernel.landmarks) > 128  # no number of landmarks is the most
+    assert kernel.error <= lockstep.KERNEL_ERROR and kernel.missing(x).max() <= lockstep.ROW_ERROR
+    # landmarks of a few rows only: the rows that these miss become landmarks as well
+    few = lockstep.fit_kernel(blocks, 0.5, rows=40)
+    assert few.error <= lockstep.KERNEL_ERROR and few.missing(x).max() <= lockstep.ROW_ERROR
+    # steps over the first landmarks are a start only; passes and tasks solve the same problem
+    problem = [lockstep.Problem(WHOLE, 1.0, 1, 0)]
+    exact = lockstep.gaussian(x, x, 0.5)
+    want = exact_dual(exact, y, 1.0)
+    (alone,) = lockstep.solve_kernel(blocks, problem, None, kernel)
+    (passes,) = lockstep.solve_together(
+        blocks, problem, lockstep.hinge, lockstep.WIDTHS, None, local_rows=0, kernel=kernel
+    )
+    for w in (alone, passes):
+        got = lockstep.Machine([(1, 0)], [w], 2, kernel).decisions(x)[:, 0]
+        assert np.abs(got - want).max() < 0.1 and ((got > 0) == (want > 0)).mean() > 0.99
+    blocks.unpersist()

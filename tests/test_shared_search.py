@@ -324,3 +324,23 @@ def test_landmarks_are_as_many_as_the_kernel_needs(spark):
         got = lockstep.Machine([(1, 0)], [w], 2, kernel).decisions(x)[:, 0]
         assert np.abs(got - want).max() < 0.1 and ((got > 0) == (want > 0)).mean() > 0.99
     blocks.unpersist()
+
+
+@pytest.mark.parametrize("classes", [2, 0])
+def test_extra_trees_vote_where_they_grow(spark, classes):
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=(400, 2)), rng.integers(0, 2, (400, 2)), np.ones(400)])
+    y = x[:, 0] + x[:, 2] + 0.1 * rng.normal(size=400)
+    y = (y > 0.5).astype(float) if classes else y
+    frame = framed(spark, x, y, rng.integers(0, 3, 400))
+    settings = [{"n_estimators": n, "max_depth": d} for n in (5, 9) for d in (3, 8)]
+    task = "classification" if classes else "regression"
+    blocks = blocks_of(frame)
+    models = T.extra_paths(bool(classes))(frame, blocks, settings, [0, 1, 2], bool(classes))
+    want = {(r["setting"], r["fold"]): r for r in select.score_blocks(blocks, models, task)}
+    blocks.unpersist()
+    sums = T.held_extra_trees(bool(classes))(frame, settings, range(3), bool(classes), select.prediction_sums)
+    assert sums.keys() == want.keys()
+    for key, own in sums.items():
+        for name, value in select.scores_of(own, task).items():
+            assert value == pytest.approx(want[key][name], rel=1e-9), (key, name)
